@@ -6,7 +6,7 @@ import importlib
 
 from .common import Query
 
-MODULES = ("langid", "exact_dedup")
+MODULES = ("mixing", "langid", "exact_dedup", "packing")
 
 
 def queries() -> dict[str, Query]:
