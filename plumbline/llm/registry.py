@@ -6,7 +6,7 @@ import importlib
 
 from .common import Query
 
-MODULES = ("mixing", "ngram_join", "langid", "exact_dedup", "packing")
+MODULES = ("mixing", "ngram_join", "langid", "embedding_dedup", "exact_dedup", "packing")
 
 
 def queries() -> dict[str, Query]:
