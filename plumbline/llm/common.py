@@ -208,11 +208,11 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(raw: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash and the start of each maximal run of bytes other than space and 09-0D."""
+def word_hashes(raw: np.ndarray, lower: bool = True, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash and the start of each maximal run of bytes other than the breaks, by default space and 09-0D."""
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = ~SPACE[raw]
+    word = ~breaks[raw]
     edge = np.diff(word.view(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):

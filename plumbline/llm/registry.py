@@ -6,7 +6,7 @@ import importlib
 
 from .common import Query
 
-MODULES = ("mixing", "ngram_join", "langid", "embedding_dedup", "toxicity", "exact_dedup", "packing")
+MODULES = ("mixing", "quality", "ngram_join", "langid", "embedding_dedup", "toxicity", "exact_dedup", "packing")
 
 
 def queries() -> dict[str, Query]:
