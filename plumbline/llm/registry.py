@@ -6,7 +6,7 @@ import importlib
 
 from .common import Query
 
-MODULES = ("mixing", "quality", "ngram_join", "langid", "licenses", "embedding_dedup", "toxicity", "exact_dedup", "packing")
+MODULES = ("suffix_dedup", "mixing", "quality", "ngram_join", "langid", "licenses", "embedding_dedup", "toxicity", "exact_dedup", "packing")
 
 
 def queries() -> dict[str, Query]:
