@@ -138,6 +138,14 @@ def dedup(docs: DataFrame, keep: str = "smallest", digest_bytes: int = 32, memta
     return rows.select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
 
 
+def kept_rows(docs: DataFrame, keep: str = "smallest") -> DataFrame:
+    """One row of docs, with all its columns, for each distinct text (null and empty are one)."""
+    verdict = dedup(docs, keep).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    rows = docs.withColumn("_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    rows = rows.join(verdict, rows["doc_id"].cast("long").eqNullSafe(verdict["_id"]) & (rows["_key"] == verdict["_sha"]), "left_semi")
+    return rows.dropDuplicates(["_key"]).select(*docs.columns)
+
+
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup(query_rows(spark, sf_dir), keep="largest")
 

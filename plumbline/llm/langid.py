@@ -98,6 +98,18 @@ def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MA
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _OUT)
 
 
+def accepted(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows of docs, with all their columns, whose text isn't rejected."""
+
+    def run(batches):
+        f = Classifier(model)
+        for b in batches:
+            verdicts = (f(t.as_py()) for t in b.column("text"))
+            yield b.filter(pa.array([v[0] != "und" and v[2] >= min_margin for v in verdicts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(mod: int, remainder: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == remainder, F.lit(True))
 
