@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from . import catalog_queries, image_queries, profile_queries
+
+_MODULES = (catalog_queries, profile_queries, image_queries)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {k: s for m in _MODULES for k, s in m.ORACLE.items()}
