@@ -71,6 +71,19 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def hash_sample(rows: DataFrame, key: str, by: str, per_class: int) -> DataFrame:
+    """About per_class rows of each value of `by` (all where there are fewer): those whose hash of `key` lies below a share.
+
+    The share follows from the counts, so that no class meets in one task; the number is per_class but for a few parts in a
+    hundred, or a little more where classes are small. The number of classes is bounded by their nature.
+    """
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()
+    share = F.lit(0.0)
+    for r in counts:
+        share = F.when(F.col(by) == F.lit(r[0]), F.lit(min(1.0, per_class / r["n"]))).otherwise(share)
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30) < share)
+
+
 # ---- fixed-size filters -------------------------------------------------------------------------
 
 FILTER_BITS_MOST = 1 << 26  # 8 MB: the proven bound of what is broadcast; beyond it more keys pass, none is lost
@@ -162,12 +175,15 @@ def union_find(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) long edges -> (id, root): each vertex that isn't its component's smallest, with that smallest vertex.
 
-    Alternating large-star and small-star rounds until the edges no longer change; a hub's edges are only
+    Alternating large-star and small-star rounds until the edges are stars; a hub's edges are only
     aggregated and equi-joined, never gathered. Each round is written to the shared folder.
     """
     e = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_stars, "a long, b long").distinct(), "edges")
-    before = None
     while True:
+        ends = e.select(F.col("a").alias("id"), F.lit(1).alias("child")).union(e.select("b", F.lit(0)))
+        ends = ends.groupBy("id").agg(F.sum("child").alias("times"), F.min("child").alias("root"))
+        if not ends.agg(F.max(F.expr("times > 1 OR (times > 0 AND root = 0)"))).first()[0]:  # each vertex hangs on one root, and no root hangs
+            return e.select(F.col("a").alias("id"), F.col("b").alias("root"))
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -176,10 +192,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = low.groupBy("a").agg(F.min("b").alias("m"))
         small = low.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
         e = written(small, "edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        before = now
 
 
 # ---- words and hashes ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Language ID by compression: the smallest zstandard encoding under per-language raw-content dictionaries.
 
-Training takes, for each learned language, at most SAMPLE_DOCS whole labelled texts (those with the least
-hash of doc_id) and joins their normalised text to a dictionary of at most DICT_BYTES. Prediction encodes every
+Training takes, for each learned language, about SAMPLE_DOCS whole labelled texts (those whose hash of doc_id
+lies below a share) and joins their normalised text to a dictionary of at most DICT_BYTES. Prediction encodes every
 whole text, block by block, under each dictionary; the language with the smallest total wins. The margin
 is how much smaller it is than the second, as a part of the second; a text is rejected when it has no letter,
 or when its margin is below MIN_MARGIN.
@@ -19,10 +19,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, query_rows
+from .common import Query, hash_sample, query_rows
 
 SAMPLE_DOCS = 96  # labelled texts of each language, the bound of the fit
 DICT_BYTES = 64 << 10
@@ -42,8 +42,7 @@ def normalised(text: str | None) -> str:
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """labelled: doc_id, text, lang -> language to dictionary. What reaches the driver is bounded for each language."""
     ids = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang")
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_docs).select("doc_id", "lang").distinct()
+    chosen = hash_sample(ids, "doc_id", "lang", sample_docs).distinct()
     picked = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "doc_id", "text").collect()
     size = {r.lang: r.n for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     out: dict[str, bytes] = {}

@@ -8,8 +8,8 @@ inflected and compounded forms of an expression share counts), and to counts tha
     P_c(w)     = max(t_c(w) - d, 0) / T_c + b_c P_c(w's six bytes) P(w | its six bytes), and so on down to P
 
 with t_c(w) the number of distinct words before w in the class. P is shared by both: counts of all words and prefixes of
-all documents in a table of fixed size, gathered from the whole corpus. Expressions in fewer than LEAST_DOCS
-sampled texts have no class count, so rare ones rest on the shared counts and speak for neither class. A text's
+all documents in a table of fixed size, gathered from the whole corpus. Expressions in few of the sampled
+texts have no class count, so rare ones rest on the shared counts and speak for neither class. A text's
 evidence is the length-normalised difference of the log-likelihoods over the text's distinct words, over its most toxic
 WINDOW of them, and over those that speak strongly for the toxic class; a logistic curve, fitted on sampled rows that the
 counts left out, turns it into a score.
@@ -24,17 +24,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_HASH, Query, mix, powers, query_rows, slices, utf8
+from .common import BYTE_HASH, Query, hash_sample, mix, powers, query_rows, slices, utf8
 from .langid import held_out
 
 SAMPLE_DOCS = 3000  # of each class, the bound of the fit
 SAMPLE_BYTES = 100_000  # a longer text isn't sampled
-LEAST_DOCS = 5
+LEAST_DOCS = 3  # texts that an expression must stand in, and LEAST_SHARE of the smaller class's besides
+LEAST_SHARE = 0.005
 WINDOW = 8
-STRONG = 1.5
+STRONG = 3.5
 PREFIXES = (6, 4)  # bytes
 SHARED_BITS = 18
 THRESHOLD = 0.3
@@ -180,11 +181,11 @@ class Model:
         doc = np.concatenate(docs)
         levels = [np.concatenate([p[0][k] for p in parts]) for k in range(1 + len(PREFIXES))]
         pair, before = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
-        known = []
+        known, least = [], LEAST_DOCS + LEAST_SHARE * min(labels.sum(), len(labels) - labels.sum())
         for x in levels:
             _, at = np.unique(mix(x + doc.astype(np.uint64)), return_index=True)  # each expression once for each text
             names, df = _sums(x[at])
-            known.append(np.isin(x, names[df >= LEAST_DOCS]))
+            known.append(np.isin(x, names[df >= least]))
         self.by = []
         for c in (0, 1):
             own = labels[doc] == c
@@ -256,11 +257,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def sample(docs: DataFrame, labels: DataFrame, column: str, learns, per_class: int, most_bytes: int = SAMPLE_BYTES, columns: tuple[str, ...] = ()) -> tuple[list, float]:
-    """At most per_class whole texts of each class of the labelled rows that `learns` admits, and the share of class 1 among all of them."""
+    """About per_class (its hash share) whole texts of each class of the labelled rows that `learns` admits, and the share of class 1 among all of them."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").where(learns)
     share = rows.agg(F.avg("label")).first()[0]
-    w = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_class).select("doc_id", "label")
+    ids = hash_sample(rows, "doc_id", "label", per_class).groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = docs.where(F.octet_length("text") <= most_bytes).join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text", *columns)
     return sorted(texts.collect(), key=lambda r: (r.doc_id, r.text)), float(share if share is not None else 0.0)  # bounded by per_class and most_bytes
 
