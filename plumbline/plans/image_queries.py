@@ -1,4 +1,97 @@
-"""Image kernels and end-to-end plans."""
+"""Image kernels and path search over the supplied tables; vectors serve as eight by eight images."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..functions import codec, masks
+from ..operators import candidates
+from ..sources.tables import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _pixels(v) -> np.ndarray:
+    return np.clip(np.floor((np.asarray(v, np.float64) + 1.0) * 127.5), 0, 255).astype(np.uint8).reshape(8, -1)
+
+
+@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: greatest(0, least(255, floor((CAST(x AS DOUBLE) + 1) * 127.5))))) AS BIGINT) AS pixel_sum FROM embeddings")
+def image_roundtrip(spark, sf):
+    """Encoded as PNG and decoded again."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"vec_id": b.vec_id, "pixel_sum": [int(codec.decode(codec.encode_png(_pixels(v))).sum()) for v in b.embedding]})
+
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, pixel_sum long")
+
+
+@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CASE WHEN x >= 0 THEN 1 ELSE 0 END)) AS BIGINT) AS ones FROM embeddings")
+def rle_bytes(spark, sf):
+    """Masks through the run-length format and back."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [np.where(np.asarray(v).reshape(8, -1) >= 0, 255, 0).astype(np.uint8) for v in b.embedding]
+            yield pd.DataFrame({"vec_id": b.vec_id, "ones": [int((masks.rle_decode(masks.rle_encode(m), m.shape) > 0).sum()) for m in found]})
+
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, ones long")
+
+
+@query(
+    """
+WITH r AS (SELECT user_id, event_type, event_id, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS k FROM events),
+c AS (SELECT * FROM r WHERE k <= 3),
+p AS (SELECT a.user_id, -(a.value + b.value + c.value + d.value + e.value) / 100
+        + (abs(a.event_id - b.event_id) + abs(b.event_id - c.event_id) + abs(c.event_id - d.event_id) + abs(d.event_id - e.event_id)) / 10000.0 AS cost
+  FROM c a JOIN c b ON b.user_id = a.user_id AND b.event_type = 'error' JOIN c c ON c.user_id = a.user_id AND c.event_type = 'purchase'
+  JOIN c d ON d.user_id = a.user_id AND d.event_type = 'signup' JOIN c e ON e.user_id = a.user_id AND e.event_type = 'view' WHERE a.event_type = 'click')
+SELECT user_id, round(min(cost), 6) AS cost FROM p GROUP BY 1"""
+)
+def viterbi_path(spark, sf):
+    """The cheapest choice of one candidate per strip: at most three of each strip, kept by a top-k before the group meets."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    c = candidates.top(e, ["user_id", "event_type"], [F.desc("value"), F.asc("event_id")], 3)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        cost, at = None, None
+        strips = [g for _, g in pdf.sort_values(["event_type", "rank"]).groupby("event_type")]
+        if len(strips) < 5:
+            return pd.DataFrame({"user_id": [], "cost": []})
+        for g in strips:
+            own, x = -g.value.to_numpy() / 100, g.event_id.to_numpy().astype(float)
+            cost = own if cost is None else own + (cost[:, None] + np.abs(at[:, None] - x[None]) / 10000).min(axis=0)
+            at = x
+        return pd.DataFrame({"user_id": [pdf.user_id.iloc[0]], "cost": [round(float(cost.min()), 6)]})
+
+    return c.groupBy("user_id").applyInPandas(run, "user_id long, cost double")
+
+
+@query()
+def defect_labels(spark, sf):
+    """Masks and polygons of vector images: how many polygons and how much of the image."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, v in zip(b.vec_id, b.embedding, strict=True):
+                m = masks.defect_mask(np.kron(_pixels(v), np.ones((4, 4), np.uint8)), 9, 0.0, None, 4.0)
+                rows.append((i, len(masks.polygons(m, 0.0)), float((m > 0).mean())))
+            yield pd.DataFrame(rows, columns=["vec_id", "n_polygons", "fraction"])
+
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, n_polygons int, fraction double")
