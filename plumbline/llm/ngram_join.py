@@ -4,9 +4,10 @@
    shingles in a table of fixed size. The table only orders shingles, rarest first, so that its collisions cost
    time, never results. Equal sets are one class of copies, linked to the smallest doc_id.
 2. A second pass posts each class's prefix of rarest shingles, once for each task that meets it. Postings meet by
-   shingle; sorted by length they are streamed, never gathered, and shingles of one class alone drop out.
-3. Each posting names its shingle's shortest class. A class is first verified against the one it shares most prefix
-   shingles with; verified links form components.
+   shingle; sorted, they are streamed, never gathered, and shingles of one class alone drop out. What dropped out of a
+   class's prefix bounds its overlap with any other: its set less those shingles.
+3. Each shingle's class with the highest bound is its hub, and is verified against the shingle's other classes; verified
+   links form components. In a group of near copies the least edited one is the hub of all.
 4. Only shingles whose postings still lie in different components give pairs: those outside the shingle's largest
    component against all others of it. Length, positional and suffix filters (counts in ranges of the hash space bound
    the overlap) come before one verification per pair on whole sets. What a component already joins needs no pair,
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, Query, build_filter, components, in_filter, mix, query_rows, slices, utf8, word_hashes, written
+from .common import BASE, Query, build_filter, components, in_filter, mix, query_rows, release, slices, utf8, word_hashes, written
 
 WORDS = 5
 PERCENT = 80
@@ -137,8 +138,8 @@ def _prefixes(freq: np.ndarray, k: int, percent: int):
     return run
 
 
-def _hubs(batches):
-    """Rows sorted by (h, n, id) -> rows whose h has several, each with the first of its h. Streams: a run is never held."""
+def _shared(batches):
+    """Rows sorted by h -> those whose h has several. Streams: a run is never held."""
     kept, done = None, False
     for b in batches:
         cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "id", "n", "pos")]
@@ -150,21 +151,28 @@ def _hubs(batches):
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         sizes = np.diff(np.append(starts, len(h)))
         emit = np.repeat(sizes > 1, sizes)
-        hub = np.repeat(starts, sizes)
         if kept is not None and done:
             emit[0] = False
         last = starts[-1]
         done = bool(sizes[-1] > 1 or (last == 0 and kept is not None and done))
         kept = [c[last : last + 1] for c in cols]
-        yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in cols] + [pa.array(c[hub][emit]) for c in cols[1:]], names=["h", "id", "n", "pos", "hub", "hub_n", "hub_pos"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in cols], names=["h", "id", "n", "pos"])
 
 
-def _fits(a_n: str, a_pos: str, b_n: str, b_pos: str, percent: int) -> str:
-    """The length and the positional filter of two postings of one shingle."""
-    least = f"CAST(({percent} * ({a_n} + {b_n}) + {99 + percent}) DIV {100 + percent} AS INT)"
+def _need_sql(n: str, percent: int) -> str:
+    return f"CAST(({n} * {percent} + 99) DIV 100 AS INT)"
+
+
+def _least_sql(n: str, m: str, percent: int) -> str:
+    return f"CAST(({percent} * ({n} + {m}) + {99 + percent}) DIV {100 + percent} AS INT)"
+
+
+def _fits(a: str, b: str, percent: int) -> str:
+    """The length filter, the bound of both classes, and the positional filter of two postings of one shingle; a, b: suffixes of n, pos, cap."""
+    n, m, i, j = f"n{a}", f"n{b}", f"pos{a}", f"pos{b}"
     return (
-        f"least({a_n}, {b_n}) * 100 >= greatest({a_n}, {b_n}) * {percent} AND "
-        f"least({a_pos}, {b_pos}) + 1 + least({a_n} - {a_pos} - 1, {b_n} - {b_pos} - 1) >= {least}"
+        f"least({n}, {m}) * 100 >= greatest({n}, {m}) * {percent} AND "
+        f"least(cap{a}, cap{b}, least({i}, {j}) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {_least_sql(n, m, percent)}"
     )
 
 
@@ -233,24 +241,41 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     copies = written(linked.join(first, "digest").where("doc_id > b").select(F.col("doc_id").alias("a"), "b").distinct(), "ngram-copies")
 
     posted = docs.mapInArrow(_prefixes(freq, k, percent), "h long, id long, n int, pos int")
-    postings = written(posted.repartition("h").sortWithinPartitions("h", "n", "id").mapInArrow(_hubs, "h long, id long, n int, pos int, hub long, hub_n int, hub_pos int"), "ngram-postings")
-    starts = postings.where("id <> hub").where(_fits("n", "pos", "hub_n", "hub_pos", percent)).groupBy("id", "hub").agg(F.count(F.lit(1)).alias("shared"))
-    starts = starts.groupBy("id").agg(F.expr("max_by(hub, struct(shared, -hub))").alias("hub"))
+    postings = written(posted.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, id long, n int, pos int"), "ngram-postings")
+    release(docs.sparkSession)
+    need = _need_sql("n", percent)
+    caps = postings.groupBy("id", "n").agg(F.count_distinct("pos").alias("c")).select("id", "n", F.expr(f"CAST(n - ((n - {need} + 1) - c) AS INT)").alias("cap")).where(f"cap >= {need}")
+    postings = written(postings.join(caps, ["id", "n"]).select("h", "id", "n", "pos", "cap"), "ngram-bounded")
+    hubs = postings.groupBy("h").agg(F.max(F.expr("struct(cap, -id AS less, n, pos)")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    hubs = hubs.select("h", F.expr("-hub.less").alias("hub"), F.col("hub.n").alias("n_hub"), F.col("hub.pos").alias("pos_hub"), F.col("hub.cap").alias("cap_hub"))
+    starts = postings.join(hubs, "h").where("id <> hub").where(_fits("", "_hub", percent))
     pairs = written(starts.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "ngram-first")
     links = _verified(pairs, docs, "ngram-first", k, percent)
     edges = copies.union(links)
+    release(docs.sparkSession)
 
     roots = components(edges)
-    rows = postings.select("h", "id", "n", "pos").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rows = postings.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = written(rows, "ngram-rooted")
-    by = rows.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("h").agg(F.count(F.lit(1)).alias("roots"), F.expr("max_by(root, struct(c, root))").alias("major"))
-    open_ = written(rows.join(by.where("roots > 1").select("h", "major"), "h"), "ngram-open")
-    minor = open_.where("root <> major").select("h", *(F.col(c).alias(f"{c}_1") for c in ("id", "n", "pos", "root")))
-    other = open_.select("h", *(F.col(c).alias(f"{c}_2") for c in ("id", "n", "pos", "root")), (F.col("root") == F.col("major")).alias("is_major"))
-    # of the two, the shorter set need only be met by its shorter, indexed prefix
+    by = rows.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("h").agg(F.count(F.lit(1)).alias("roots"), F.expr("max_by(root, struct(c, root))").alias("major"), F.max("c").alias("c"))
+    open_ = written(rows.join(by.where("roots > 1").select("h", "major", "c"), "h"), "ngram-open")
+    minor = open_.where("root <> major")
+    columns = ("id", "n", "pos", "cap", "root")
+    side = lambda df, k, *more: df.select("h", *more, *(F.col(c).alias(f"{c}_{k}") for c in columns))
+    # a class against a component: by its members where they are fewer than the postings they share, else by those
+    members = rows.select(*(F.col(c).alias(f"{c}_2") for c in ("id", "n", "cap", "root"))).distinct()
+    sizes = members.groupBy(F.col("root_2").alias("major")).agg(F.count(F.lit(1)).alias("size"))
+    met = minor.groupBy("id", "n", "cap", "major").agg(F.sum("c").alias("shared")).join(sizes, "major")
+    met = written(met, "ngram-met")
+    whole = met.where("size <= shared").select(F.col("major").alias("root_2"), *(F.col(c).alias(f"{c}_1") for c in ("id", "n", "cap"))).join(members, "root_2")
+    whole = whole.where(f"least(n_1, n_2) * 100 >= greatest(n_1, n_2) * {percent} AND least(cap_1, cap_2) >= {_least_sql('n_1', 'n_2', percent)}")
+    few = minor.join(met.where("size > shared").select("id", "major"), ["id", "major"], "left_semi")
+    posted = side(few, 1).join(side(open_.where("root = major"), 2), "h")
+    posted = posted.union(side(minor, 1).join(side(minor, 2), "h").where("root_1 <> root_2 AND id_1 < id_2")).where(_fits("_1", "_2", percent))
+    # of two classes, the one with the smaller set need only be met by its shorter, indexed prefix
     index = lambda i: f"(n_{i} - CAST((2 * {percent} * n_{i} + {99 + percent}) DIV {100 + percent} AS INT) + 1)"
-    more = minor.join(other, "h").where("root_1 <> root_2 AND (is_major OR id_1 < id_2)").where(_fits("n_1", "pos_1", "n_2", "pos_2", percent))
-    more = more.where(f"CASE WHEN struct(n_1, id_1) < struct(n_2, id_2) THEN pos_1 < {index(1)} ELSE pos_2 < {index(2)} END")
+    posted = posted.where(f"CASE WHEN struct(n_1, id_1) < struct(n_2, id_2) THEN pos_1 < {index(1)} ELSE pos_2 < {index(2)} END")
+    more = posted.select("id_1", "id_2").union(whole.select("id_1", "id_2"))
     more = more.select(F.least("id_1", "id_2").alias("a"), F.greatest("id_1", "id_2").alias("b")).distinct()
     more = written(more.join(pairs, ["a", "b"], "left_anti"), "ngram-second")
     edges = edges.union(_verified(more, docs, "ngram-second", k, percent))
