@@ -164,7 +164,10 @@ def _cut(placed: DataFrame, part: dict[str | None, tuple[int, int]]) -> dict[str
                     more.append(ids[j])
             if best is None or total > best[0]:
                 best = total, more, first
-        _, more, k = best
+        total, more, k = best
+        left = [j for j in range(k, len(size)) if size[j] and ids[j] is not None and ids[j] not in more]
+        if left and size[last := min(left, key=lambda j: (size[j], v[j]))] < 2 * (rest - total):
+            more.append(ids[last])  # a little beyond the target is nearer
         bound = {"v": int(v[k - 1]), "id": ids[k - 1]} if k else None
         return pa.table({"source": pa.array([key[0].as_py()], pa.string()), "bound": pa.array([bound], pa.struct([("v", pa.int64()), ("id", pa.int64())])), "more": pa.array([more], pa.list_(pa.int64()))})
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import BYTE_HASH, Query, hash_sample, mix, powers, query_rows, slices, utf8
 from .langid import held_out
 
-SAMPLE_DOCS = 3000  # of each class, the bound of the fit
+SAMPLE_DOCS = 2000  # of each class, the bound of the fit
 SAMPLE_BYTES = 100_000  # a longer text isn't sampled
 LEAST_DOCS = 3  # texts that an expression must stand in, and LEAST_SHARE of the smaller class's besides
 LEAST_SHARE = 0.005
