@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -28,19 +29,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[sc.applicationId]
 
 
+ARROW_ROWS = 4000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df after one write to the shared folder: cuts lineage, and a lost executor costs no recomputation."""
+    """The rows of df after one write to the shared folder: cuts lineage, and a lost executor costs no recomputation.
+
+    While it runs, Arrow batches are small, so that whole texts and sets in them take little memory.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_ARROW)
+    spark.conf.set(_ARROW, str(min(ARROW_ROWS, int(before)) if int(before) > 0 else ARROW_ROWS))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_ARROW, before)
     return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle files of finished steps, which otherwise stay until the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)  # the cleaner works beside
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -94,15 +109,15 @@ def _filter_slots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(mix(keys ^ np.uint64(salt)) & mask) for salt in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
 
 
-def build_filter(keys: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """A Bloom filter over the long column of keys, its bits set on executors and or-ed by slice; at most FILTER_BITS_MOST bits."""
+def build_filter(keys: DataFrame, n: int, number: Callable[[pa.Array], np.ndarray] | None = None) -> tuple[np.ndarray, int]:
+    """A Bloom filter over the first column of keys (longs, or made longs by `number`), its bits set on executors and or-ed by slice; at most FILTER_BITS_MOST bits."""
     bits = 1 << int(np.clip(np.ceil(np.log2(max(n, 1) * 12)), 13, np.log2(FILTER_BITS_MOST)))
     piece = 1 << 16  # bits in a slice, the unit that is or-ed
 
     def partial(batches):
         table = np.zeros(bits // 8, np.uint8)
         for b in batches:
-            k = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            k = (number(b.column(0)) if number else b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)).view(np.uint64)
             for s in _filter_slots(k, bits):
                 np.bitwise_or.at(table, (s >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (s & np.uint64(7)).astype(np.uint8)))
         step = piece // 8

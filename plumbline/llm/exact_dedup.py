@@ -86,11 +86,7 @@ def dedup(docs: DataFrame, keep: str = "smallest", digest_bytes: int = 32, memta
     runs = written(level0(docs, digest_bytes, memtable_rows), "lsm-level0")
     hits = written(compact(runs).where("n > 1").select("digest"), "lsm-hits")
 
-    def keys(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_key(b.column(0)), pa.int64())], names=["k"])
-
-    table, bits = build_filter(hits.mapInArrow(keys, "k long"), hits.count())
+    table, bits = build_filter(hits, hits.count(), _key)
 
     def verify(batches):
         held: dict[tuple, list] = {}

@@ -36,11 +36,17 @@ WORDS = 5
 PERCENT = 80
 TABLE_BITS = 19  # of the frequency table: 2 MB, whatever the corpus
 RANGES = 64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+SLICE_ROWS = 500
 
 
 def shingle_sets(texts: pa.Array, k: int = WORDS):
-    """For each text its sorted distinct shingles."""
+    """For each text its sorted distinct shingles; a few texts at a time, so that memory follows the longest text."""
+    for at in range(0, len(texts), SLICE_ROWS):
+        yield from _sets(texts.slice(at, SLICE_ROWS), k)
+
+
+def _sets(texts: pa.Array, k: int):
     texts = pc.binary_join_element_wise(texts.cast(pa.large_string()).fill_null(""), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
     raw, offsets = utf8(texts)
     factors = np.array([BASE + 2 * 0x5851F42D4C957F2D * (j + 1) & (1 << 64) - 1 for j in range(k)], np.uint64)
