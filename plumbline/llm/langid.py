@@ -69,7 +69,7 @@ class Classifier:
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin of a whole text."""
         t = normalised(text)
-        if not t or not self.by:
+        if not self.by or not any(c.isalpha() for c in t):
             return "und", 0.0, 0.0
         t = f" {t} "
         blocks = [t[i : i + BLOCK_CHARS].encode() for i in range(0, len(t), BLOCK_CHARS)]

@@ -293,6 +293,7 @@ def test_language(spark, docs, odd, empty):
         text = dict((x[0], x[1]) for x in ROWS)[r.doc_id]
         if not any(c.isalpha() for c in text or ""):
             assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+    assert langid.Classifier(model)("²½ 3")[0] == "und"
     kept = langid.accepted(docs, model)
     assert kept.columns == docs.columns and kept.count() == sum(not r.rejected for r in rows)
     assert langid.predict(empty, langid.learn(empty)).count() == 0
