@@ -31,9 +31,10 @@ from .common import Query, build_filter, in_filter, mix, query_rows, release, ut
 
 WINDOW = 50
 ANCHOR = 16
-SLICE_BYTES = 4 << 20  # hashed at a time; positions in a slice fit 24 bits
-BATCH_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20  # hashed at a time; positions in a slice fit 24 bits
+BATCH_BYTES = 8 << 20
 GROUP_BYTES = 8 << 20  # of text, for each group that a task sorts at once
+LEVEL = 9
 _LOW = np.uint64((1 << 24) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -118,20 +119,45 @@ def _merge(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[at], start[at], np.maximum.reduceat(end, at)
 
 
+_NUMBERS = ("doc", "doc_n", "times", "start", "c_doc", "c_start", "c_end")
+
+
+def _steps(x: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Differences to the value before, values themselves where a new run begins."""
+    out = x.astype(np.int64)
+    out[1:] -= np.where(new[1:], 0, x[:-1])
+    return out
+
+
 def _encode(parts: dict[str, np.ndarray]) -> bytes:
-    kinds = {"bytes": "u1", "left": "u1", "size": "u1", "doc": "<i8", "times": "<u4", "start": "<i8", "c_doc": "<i8", "c_start": "<i8", "c_end": "<i8"}
-    body = b"".join(parts[k].astype(t).tobytes() for k, t in kinds.items())
-    head = np.array([len(parts[k]) for k in kinds], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + body)
+    """Fragments come in order of document and place: documents as runs, places as steps, numbers by byte planes, all compressed."""
+    doc, times = parts["doc"], parts["times"]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    of = np.repeat(doc, times)
+    new = np.concatenate([[True], of[1:] != of[:-1]]) if len(of) else np.zeros(0, bool)
+    numbers = {**parts, "doc": doc[first], "doc_n": np.diff(np.append(first, len(doc))), "start": _steps(parts["start"], new)}
+    planes = [np.ascontiguousarray(numbers[k].astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for k in _NUMBERS]
+    head = np.array([len(parts["left"]), len(parts["bytes"]), *(len(numbers[k]) for k in _NUMBERS)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=LEVEL).compress(head + parts["left"].tobytes() + parts["size"].tobytes() + b"".join(planes) + parts["bytes"].tobytes())
 
 
 def _decode(blob: bytes) -> dict[str, np.ndarray]:
-    kinds = {"bytes": "u1", "left": "u1", "size": "u1", "doc": "<i8", "times": "<u4", "start": "<i8", "c_doc": "<i8", "c_start": "<i8", "c_end": "<i8"}
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    out, at = {}, 4 * len(kinds)
-    for n, (k, t) in zip(np.frombuffer(raw, "<u4", len(kinds)).tolist(), kinds.items(), strict=True):
-        out[k] = np.frombuffer(raw, t, n, at)
-        at += out[k].nbytes
+    n, n_bytes, *counts = np.frombuffer(raw, "<u4", 2 + len(_NUMBERS)).tolist()
+    at = 4 * (2 + len(_NUMBERS))
+    out = {"left": np.frombuffer(raw, np.uint8, n, at), "size": np.frombuffer(raw, np.uint8, n, at + n)}
+    at += 2 * n
+    for k, c in zip(_NUMBERS, counts, strict=True):
+        out[k] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * c, at).reshape(8, -1).T).view("<i8").ravel() if c else np.zeros(0, np.int64)
+        at += 8 * c
+    out["bytes"] = np.frombuffer(raw, np.uint8, n_bytes, at)
+    out["doc"] = np.repeat(out["doc"], out.pop("doc_n"))
+    of = np.repeat(out["doc"], out["times"])
+    if len(of):  # sums of steps, less what came before each document
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        sums = np.cumsum(out["start"])
+        before = np.where(first > 0, sums[first - 1], 0)
+        out["start"] = sums - np.repeat(before, np.diff(np.append(first, len(of))))
     return out
 
 
@@ -149,7 +175,7 @@ def _flush(found: list[dict], s: Shape, groups: int):
     unique, start = order[first], f["start"][order][stays]
     where = np.concatenate([[0], np.cumsum(times)])
     group = f["group"][unique]
-    by = np.argsort(group, kind="stable")
+    by = np.lexsort((f["start"][unique], least, group))
     cuts = np.searchsorted(group[by], np.arange(groups + 1))
     c_cuts_of = (mix(covered[0].astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
     c_by = np.argsort(c_cuts_of, kind="stable")
