@@ -28,7 +28,7 @@ from .common import Query, query_rows, written
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 CHUNK_CHARS = 1 << 20
 #: Fixed values of the vocabulary's own pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

@@ -31,9 +31,9 @@ from .common import Query, build_filter, in_filter, mix, query_rows, release, ut
 
 WINDOW = 50
 ANCHOR = 16
-SLICE_BYTES = 2 << 20  # hashed at a time; positions in a slice fit 24 bits
+SLICE_BYTES = 1 << 20  # hashed at a time; positions in a slice fit 24 bits
 BATCH_BYTES = 8 << 20
-GROUP_BYTES = 8 << 20  # of text, for each group that a task sorts at once
+GROUP_BYTES = 4 << 20  # of text, for each group that a task sorts at once
 LEVEL = 9
 _LOW = np.uint64((1 << 24) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
