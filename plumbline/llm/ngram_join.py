@@ -4,8 +4,8 @@
    shingles in a table of fixed size. The table only orders shingles, rarest first, so that its collisions cost
    time, never results. Equal sets are one class of copies, linked to the smallest doc_id.
 2. A second pass posts each class's prefix of rarest shingles, once for each task that meets it. Postings meet by
-   shingle; sorted, they are streamed, never gathered, and shingles of one class alone drop out. What dropped out of a
-   class's prefix bounds its overlap with any other: its set less those shingles.
+   shingle; sorted, they are streamed, never gathered, and shingles of one class alone drop out. What dropped out of the
+   prefix that ends first in the order, of two classes, bounds their overlap: the other posts all that it has up to there.
 3. Each shingle's class with the highest bound is its hub, and is verified against the shingle's other classes; verified
    links form components. In a group of near copies the least edited one is the hub of all.
 4. Only shingles whose postings still lie in different components give pairs: those outside the shingle's largest
@@ -120,7 +120,7 @@ def _prefixes(freq: np.ndarray, k: int, percent: int):
     def run(batches):
         seen: set[bytes] = set()
         for b in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for i, s in zip(b.column("doc_id").to_pylist(), shingle_sets(b.column("text"), k), strict=True):
                 n = len(s)
                 if i is None or not n:
@@ -138,8 +138,9 @@ def _prefixes(freq: np.ndarray, k: int, percent: int):
                 out[1].append(np.full(p, i, np.int64))
                 out[2].append(np.full(p, n, np.int32))
                 out[3].append(np.arange(p, dtype=np.int32))
+                out[4].append(np.full(p, f[near[-1]], np.int64))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["h", "id", "n", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["h", "id", "n", "pos", "last"])
 
     return run
 
@@ -148,7 +149,7 @@ def _shared(batches):
     """Rows sorted by h -> those whose h has several. Streams: a run is never held."""
     kept, done = None, False
     for b in batches:
-        cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "id", "n", "pos")]
+        cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "id", "n", "pos", "last")]
         if not len(cols[0]):
             continue
         if kept is not None:
@@ -162,7 +163,7 @@ def _shared(batches):
         last = starts[-1]
         done = bool(sizes[-1] > 1 or (last == 0 and kept is not None and done))
         kept = [c[last : last + 1] for c in cols]
-        yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in cols], names=["h", "id", "n", "pos"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[emit]) for c in cols], names=["h", "id", "n", "pos", "last"])
 
 
 def _need_sql(n: str, percent: int) -> str:
@@ -173,12 +174,17 @@ def _least_sql(n: str, m: str, percent: int) -> str:
     return f"CAST(({percent} * ({n} + {m}) + {99 + percent}) DIV {100 + percent} AS INT)"
 
 
+def _bound(a: str, b: str) -> str:
+    """An upper bound of two classes' overlap: the cap of the one whose prefix ends first; which, is left open where the frequencies tie."""
+    return f"CASE WHEN last{a} < last{b} THEN cap{a} WHEN last{b} < last{a} THEN cap{b} ELSE greatest(cap{a}, cap{b}) END"
+
+
 def _fits(a: str, b: str, percent: int) -> str:
-    """The length filter, the bound of both classes, and the positional filter of two postings of one shingle; a, b: suffixes of n, pos, cap."""
+    """The length filter, the bound of both classes, and the positional filter of two postings of one shingle; a, b: suffixes of n, pos, cap, last."""
     n, m, i, j = f"n{a}", f"n{b}", f"pos{a}", f"pos{b}"
     return (
         f"least({n}, {m}) * 100 >= greatest({n}, {m}) * {percent} AND "
-        f"least(cap{a}, cap{b}, least({i}, {j}) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {_least_sql(n, m, percent)}"
+        f"least({_bound(a, b)}, least({i}, {j}) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {_least_sql(n, m, percent)}"
     )
 
 
@@ -246,14 +252,14 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     first = linked.groupBy("digest").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most")
     copies = written(linked.join(first, "digest").where("doc_id > b").select(F.col("doc_id").alias("a"), "b").distinct(), "ngram-copies")
 
-    posted = docs.mapInArrow(_prefixes(freq, k, percent), "h long, id long, n int, pos int")
-    postings = written(posted.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, id long, n int, pos int"), "ngram-postings")
+    posted = docs.mapInArrow(_prefixes(freq, k, percent), "h long, id long, n int, pos int, last long")
+    postings = written(posted.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, id long, n int, pos int, last long"), "ngram-postings")
     release(docs.sparkSession)
     need = _need_sql("n", percent)
-    caps = postings.groupBy("id", "n").agg(F.count_distinct("pos").alias("c")).select("id", "n", F.expr(f"CAST(n - ((n - {need} + 1) - c) AS INT)").alias("cap")).where(f"cap >= {need}")
-    postings = written(postings.join(caps, ["id", "n"]).select("h", "id", "n", "pos", "cap"), "ngram-bounded")
-    hubs = postings.groupBy("h").agg(F.max(F.expr("struct(cap, -id AS less, n, pos)")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    hubs = hubs.select("h", F.expr("-hub.less").alias("hub"), F.col("hub.n").alias("n_hub"), F.col("hub.pos").alias("pos_hub"), F.col("hub.cap").alias("cap_hub"))
+    caps = postings.groupBy("id", "n", "last").agg(F.count_distinct("pos").alias("c")).select("id", "n", "last", F.expr(f"CAST(n - ((n - {need} + 1) - c) AS INT)").alias("cap"))
+    postings = written(postings.join(caps, ["id", "n", "last"]).select("h", "id", "n", "pos", "last", "cap"), "ngram-bounded")
+    hubs = postings.groupBy("h").agg(F.max(F.expr("struct(cap, -id AS less, n, pos, last)")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    hubs = hubs.select("h", F.expr("-hub.less").alias("hub"), *(F.col(f"hub.{c}").alias(f"{c}_hub") for c in ("n", "pos", "cap", "last")))
     starts = postings.join(hubs, "h").where("id <> hub").where(_fits("", "_hub", percent))
     pairs = written(starts.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "ngram-first")
     links = _verified(pairs, docs, "ngram-first", k, percent)
@@ -266,15 +272,15 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     by = rows.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("h").agg(F.count(F.lit(1)).alias("roots"), F.expr("max_by(root, struct(c, root))").alias("major"), F.max("c").alias("c"))
     open_ = written(rows.join(by.where("roots > 1").select("h", "major", "c"), "h"), "ngram-open")
     minor = open_.where("root <> major")
-    columns = ("id", "n", "pos", "cap", "root")
+    columns = ("id", "n", "pos", "cap", "last", "root")
     side = lambda df, k, *more: df.select("h", *more, *(F.col(c).alias(f"{c}_{k}") for c in columns))
     # a class against a component: by its members where they are fewer than the postings they share, else by those
-    members = rows.select(*(F.col(c).alias(f"{c}_2") for c in ("id", "n", "cap", "root"))).distinct()
+    members = rows.select(*(F.col(c).alias(f"{c}_2") for c in ("id", "n", "cap", "last", "root"))).distinct()
     sizes = members.groupBy(F.col("root_2").alias("major")).agg(F.count(F.lit(1)).alias("size"))
-    met = minor.groupBy("id", "n", "cap", "major").agg(F.sum("c").alias("shared")).join(sizes, "major")
+    met = minor.groupBy("id", "n", "cap", "last", "major").agg(F.sum("c").alias("shared")).join(sizes, "major")
     met = written(met, "ngram-met")
-    whole = met.where("size <= shared").select(F.col("major").alias("root_2"), *(F.col(c).alias(f"{c}_1") for c in ("id", "n", "cap"))).join(members, "root_2")
-    whole = whole.where(f"least(n_1, n_2) * 100 >= greatest(n_1, n_2) * {percent} AND least(cap_1, cap_2) >= {_least_sql('n_1', 'n_2', percent)}")
+    whole = met.where("size <= shared").select(F.col("major").alias("root_2"), *(F.col(c).alias(f"{c}_1") for c in ("id", "n", "cap", "last"))).join(members, "root_2")
+    whole = whole.where(f"least(n_1, n_2) * 100 >= greatest(n_1, n_2) * {percent} AND {_bound('_1', '_2')} >= {_least_sql('n_1', 'n_2', percent)}")
     few = minor.join(met.where("size > shared").select("id", "major"), ["id", "major"], "left_semi")
     posted = side(few, 1).join(side(open_.where("root = major"), 2), "h")
     posted = posted.union(side(minor, 1).join(side(minor, 2), "h").where("root_1 <> root_2 AND id_1 < id_2")).where(_fits("_1", "_2", percent))

@@ -272,6 +272,23 @@ def test_ngram_join_on_many_near_copies(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked(rows)
 
 
+def test_ngram_join_on_lone_pairs_of_unequal_length(spark):
+    """A text and itself with 1 to 28 words more, some beside a third: what one alone posts still lies in the other's set."""
+    rng = random.Random(12)
+    rows = []
+    for more in range(1, 29):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+        extra = [f"x{rng.randrange(10**9)}" for _ in range(more)]
+        cases = [base, base + extra] if more % 2 else [base, extra + base]
+        if more % 3 == 0:
+            cases.append(base[: 100 - more // 2])
+        rows += [(len(rows) + k, " ".join(x)) for k, x in enumerate(cases)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = linked(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sum(i != root for i, (_, root) in want.items()) >= 24
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, 30)] + [(5, 5)]
     got = {r.id: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
