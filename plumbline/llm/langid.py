@@ -4,7 +4,8 @@ Training takes, for each learned language, about SAMPLE_DOCS whole labelled text
 lies below a share) and joins their normalised text to a dictionary of at most DICT_BYTES. Prediction encodes every
 whole text, block by block, under each dictionary; the language with the smallest total wins. The margin
 is how much smaller it is than the second, as a part of the second; a text is rejected when it has no letter,
-or when its margin is below MIN_MARGIN.
+or when its margin is below MIN_MARGIN. Every dictionary keeps its own size. One shorter than others is credited with what
+theirs save on foreign text beyond its size, but with no more than it saves on the text itself.
 
 Defined cases: a null text, an empty one and one without a letter give `und`, score 0, rejected; a tie goes to
 the language with most labelled texts, then the first by code point, and is rejected; with no learned language all is `und`; rows with the
@@ -28,6 +29,7 @@ SAMPLE_DOCS = 96  # labelled texts of each language, the bound of the fit
 DICT_BYTES = 64 << 10
 BLOCK_CHARS = 4096
 MIN_MARGIN = 0.002
+PROBES = 8  # languages whose text measures what a larger dictionary saves by its size alone
 #: Matches of four bytes already count, so that short function words tell languages apart; one probe a position keeps it fast.
 PARAMETERS = {"window_log": 17, "hash_log": 15, "chain_log": 14, "search_log": 1, "min_match": 4, "target_length": 8, "strategy": zstandard.STRATEGY_FAST, "write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -55,16 +57,36 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int =
     return out
 
 
+def _compressor(body: bytes):
+    params = zstandard.ZstdCompressionParameters(**PARAMETERS)
+    if not body:
+        return zstandard.ZstdCompressor(compression_params=params).compress
+    d = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(compression_params=params)
+    return zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress
+
+
+def credits(model: dict[str, bytes]) -> np.ndarray:
+    """For each language the part of a foreign text that larger dictionaries save beyond its dictionary's size; 0 for the largest."""
+    probes = {x: model[x][:BLOCK_CHARS] for x in sorted(model, key=lambda x: -len(model[x]))[:PROBES]}
+    plain, full = _compressor(b""), {x: _compressor(model[x]) for x in probes}
+    out = np.zeros(len(model))
+    for i, body in enumerate(model.values()):
+        saved = []
+        for x, f in full.items():
+            if len(model[x]) > len(body):
+                cut = _compressor(model[x][: len(body)])
+                saved += [(len(cut(t)) - len(f(t))) / len(plain(t)) for y, t in probes.items() if y != x]
+        out[i] = max(float(np.mean(saved)), 0.0) if saved else 0.0
+    return out
+
+
 class Classifier:
     def __init__(self, model: dict[str, bytes]):
         self.langs = list(model)
-        size = min((len(x) for x in model.values()), default=0)  # equal sizes: no language wins by a larger dictionary
-        params = zstandard.ZstdCompressionParameters(**PARAMETERS)
-        self.by = []
-        for lang in self.langs:
-            d = zstandard.ZstdCompressionDict(model[lang][:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(compression_params=params)
-            self.by.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress)
+        self.by = [_compressor(x) for x in model.values()]
+        self.credits = credits(model)
+        self.plain = _compressor(b"")
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin of a whole text."""
@@ -74,6 +96,9 @@ class Classifier:
         t = f" {t} "
         blocks = [t[i : i + BLOCK_CHARS].encode() for i in range(0, len(t), BLOCK_CHARS)]
         sizes = np.array([sum(len(f(b)) for b in blocks) - 6 * len(blocks) for f in self.by], float)  # without the frames' headers
+        if self.credits.any():  # a larger dictionary alone mustn't win
+            plain = sum(len(self.plain(b)) for b in blocks) - 6 * len(blocks)
+            sizes -= np.clip(plain - sizes, 0, self.credits * plain)
         best = int(np.argmin(sizes))
         rest = np.delete(sizes, best)
         margin = float((rest.min() - sizes[best]) / max(rest.min(), 1)) if len(rest) else 1.0

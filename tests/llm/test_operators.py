@@ -317,6 +317,23 @@ def test_language(spark, docs, odd, empty):
     assert langid.predict(odd, model).count() == 4 and langid.predict(docs, {}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_beside_one_with_a_short_text():
+    rng = random.Random(21)
+    model = {x: langid.normalised(prose(x, 6000, rng)).encode() for x in WORDS}
+    texts = [(x, prose(x, 60, rng)) for x in WORDS for _ in range(40)]
+
+    def right(m):
+        f = langid.Classifier(m)
+        got = [f(t) for _, t in texts]
+        return np.mean([g[0] == x and g[2] >= langid.MIN_MARGIN for g, (x, _) in zip(got, texts, strict=True)])
+
+    alone = right(model)
+    assert alone > 0.9
+    assert right(model | {"xx": b"ok"}) >= alone - 0.02 and right(model | {"xx": b"qua quo zwyx " * 20}) >= alone - 0.02
+    short = langid.normalised(prose("de", 300, rng)).encode()
+    assert right(model | {"de": short}) > 0.85  # a learned language with one shorter text is still named
+
+
 # ---- 6: licences -----------------------------------------------------------------------------
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
