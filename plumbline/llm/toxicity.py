@@ -10,8 +10,8 @@ inflected and compounded forms of an expression share counts), and to counts tha
 with t_c(w) the number of distinct words before w in the class. P is shared by both: counts of all words and prefixes of
 all documents in a table of fixed size, gathered from the whole corpus. Expressions in few of the sampled
 texts have no class count, so rare ones rest on the shared counts and speak for neither class. A text's
-evidence is the length-normalised difference of the log-likelihoods over the text's distinct words, over its most toxic
-WINDOW of them, and over those that speak strongly for the toxic class; a logistic curve, fitted on sampled rows that the
+evidence is the length-normalised difference of the log-likelihoods over all words of the text (those of a line's r-th
+copy weigh 1/r), over its most toxic WINDOW of neighbours, and over those that speak strongly for the toxic class; a logistic curve, fitted on sampled rows that the
 counts left out, turns it into a score.
 
 Defined cases: null, empty and wordless texts have no evidence and score as such (the curve at zero evidence, at most
@@ -45,7 +45,7 @@ _PAIR = np.uint64(0xD6E8FEB86659FD93)
 
 
 def words_of(texts: pa.Array):
-    """Yields (hashes of words and of their prefixes, starts of each text's words and their end) for slices of texts."""
+    """Yields (hashes of words and of their prefixes, their lines, starts of each text's words and their end) for slices of texts."""
     texts = pc.binary_join_element_wise(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
     raw, offsets = utf8(texts)
     for lo, hi in slices(np.diff(offsets), SLICE_BYTES):
@@ -55,7 +55,7 @@ def words_of(texts: pa.Array):
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         cuts = np.searchsorted(starts, offsets[lo : hi + 1] - offsets[lo])
         if not len(starts):
-            yield [np.zeros(0, np.uint64)] * (1 + len(PREFIXES)), cuts
+            yield [np.zeros(0, np.uint64)] * (1 + len(PREFIXES)), np.zeros(0, np.int64), cuts
             continue
         sizes = ends - starts
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -65,7 +65,7 @@ def words_of(texts: pa.Array):
         for k in PREFIXES:
             value = np.where(within < k, value, np.uint64(0))
             levels.append(mix(np.add.reduceat(value, first) + np.uint64(k << 32)))
-        yield levels, cuts
+        yield levels, np.searchsorted(np.flatnonzero(part == 10), starts), cuts
 
 
 def pairs_of(words: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,20 +76,26 @@ def pairs_of(words: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return mix(before * _PAIR + words), before
 
 
-def first_words(levels: list[np.ndarray], cuts: np.ndarray):
-    """Each text's distinct words where they first stand: levels, pair, before, cuts. Repeated lines say nothing more."""
-    pair, before = pairs_of(levels[0], cuts)
-    doc = np.repeat(np.arange(len(cuts) - 1, dtype=np.uint64), np.diff(cuts))
-    _, at = np.unique(mix(levels[0] + doc), return_index=True)
-    keep = np.zeros(len(doc), bool)
-    keep[at] = True
-    return [x[keep] for x in levels], pair[keep], before[keep], np.concatenate([[0], np.cumsum(keep)])[cuts]
+def line_weights(words: np.ndarray, lines: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Each word's weight: 1/r in the r-th copy of a line of its text."""
+    if not len(words):
+        return np.zeros(0)
+    doc = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    starts = np.flatnonzero(np.concatenate([[True], (lines[1:] != lines[:-1]) | (doc[1:] != doc[:-1])]))
+    sizes = np.diff(np.append(starts, len(words)))
+    within = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
+    key = mix(np.add.reduceat(mix(words + within * _PAIR), starts) + doc[starts].astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    rank = np.empty(len(key))
+    rank[order] = np.arange(len(key)) - np.repeat(new, np.diff(np.append(new, len(key))))
+    return np.repeat(1 / (1 + rank), sizes)
 
 
 def unlike(texts: list[str]) -> list[int]:
     """Which texts to keep so that none has most of its word pairs in those before it: copies would count one expression often."""
     seen, out, n = np.zeros(1 << 26, bool), [], 0
-    for levels, cuts in words_of(pa.array(texts, pa.large_string())):
+    for levels, _, cuts in words_of(pa.array(texts, pa.large_string())):
         pair = pairs_of(levels[0], cuts)[0] >> np.uint64(38)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             mine = np.unique(pair[a:b])
@@ -105,7 +111,7 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
 
 
 def count_shared(texts: pa.Array, table: np.ndarray) -> None:
-    for levels, _ in words_of(texts):
+    for levels, _, _ in words_of(texts):
         for x in levels:
             table += np.bincount(_slots(x), minlength=len(table))
 
@@ -173,10 +179,11 @@ class Model:
 
     def _count(self, texts: list[str], labels: np.ndarray) -> None:
         parts, docs, n = [], [], 0
-        for levels, cuts in words_of(pa.array(texts, pa.large_string())):
-            levels, pair, before, cuts = first_words(levels, cuts)
-            parts.append((levels, pair, before))
-            docs.append(np.repeat(np.arange(n, n + len(cuts) - 1), np.diff(cuts)))
+        for levels, lines, cuts in words_of(pa.array(texts, pa.large_string())):
+            pair, before = pairs_of(levels[0], cuts)
+            keep = line_weights(levels[0], lines, cuts) == 1  # a repeated line teaches once
+            parts.append(([x[keep] for x in levels], pair[keep], before[keep]))
+            docs.append(np.repeat(np.arange(n, n + len(cuts) - 1), np.diff(cuts))[keep])
             n += len(cuts) - 1
         doc = np.concatenate(docs)
         levels = [np.concatenate([p[0][k] for p in parts]) for k in range(1 + len(PREFIXES))]
@@ -217,21 +224,25 @@ class Model:
         return np.log(np.where(n > 0, np.maximum(_at(m["bi"], m["n"], pair) - d, 0) / np.maximum(n, 1), 0) + back * p)
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
-        """For each text the mean log-likelihood ratio of its distinct words, of its most toxic window, and the balance of strong words."""
+        """For each text the mean log-likelihood ratio of its words, of its most toxic window, and the balance of strong words."""
         out = []
-        for levels, cuts in words_of(texts):
-            levels, pair, before, cuts = first_words(levels, cuts)
+        for levels, lines, cuts in words_of(texts):
+            weight = line_weights(levels[0], lines, cuts)
+            pair, before = pairs_of(levels[0], cuts)
+            pair, at, place = np.unique(pair, return_index=True, return_inverse=True)  # a word after another is looked up once
+            levels, before = [x[at] for x in levels], before[at]
             shared = [self.shared[_slots(x)] for x in levels]
             ratio = self._log_likelihood(1, levels, pair, before, shared) - self._log_likelihood(0, levels, pair, before, shared)
-            sums = np.concatenate([[0.0], np.cumsum(ratio)])
-            strong = np.concatenate([[0.0], np.cumsum(np.where(ratio > STRONG, ratio, 0.0))])
+            ratio = ratio[place]
+            sums, mass, weighed, strong = (np.concatenate([[0.0], np.cumsum(x)]) for x in (ratio, weight, ratio * weight, np.where(ratio > STRONG, ratio, 0.0) * weight))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if a == b:
                     out.append((0.0, 0.0, 0.0))
                     continue
                 k = min(WINDOW, b - a)
                 top = (sums[a + k : b + 1] - sums[a : b - k + 1]).max() / WINDOW
-                out.append(((sums[b] - sums[a]) / (b - a), top, np.log1p(100 * (strong[b] - strong[a]) / (b - a + 20))))
+                n = mass[b] - mass[a]
+                out.append(((weighed[b] - weighed[a]) / n, top, np.log1p(100 * (strong[b] - strong[a]) / (n + 20))))
         return np.array(out, float).reshape(-1, 3)
 
     def score(self, texts: pa.Array) -> np.ndarray:

@@ -222,6 +222,32 @@ def test_kneser_ney_prefers_the_class_of_its_expressions():
     assert s[0] > 0.5 > s[1] and s[2] <= 0.29
 
 
+def test_toxic_phrase_of_words_seen_before_ends_a_long_text():
+    import pyarrow as pa
+
+    rng = random.Random(14)
+    phrase = "kalo tumi reva soni".split()
+
+    def text(toxic, n=60):
+        words = prose("en", n, rng).split()
+        for w in rng.sample(phrase, 4):
+            words.insert(rng.randrange(len(words) // 2), w)
+        return " ".join(words + phrase * toxic)
+
+    texts = [text(i % 2) for i in range(200)]
+    shared = np.zeros(1 << toxicity.SHARED_BITS, np.int64)
+    toxicity.count_shared(pa.array(texts), shared)
+    m = toxicity.Model(texts, np.arange(200) % 2, shared, 0.5)
+    long_text = text(0, 1500)
+    x = m.evidence(pa.array([long_text, f"{long_text} {' '.join(phrase)}"]))
+    assert x[1, 0] > x[0, 0] and x[1, 1] > x[0, 1]  # the mean and the window of neighbours see it
+    s = m.score(pa.array([long_text, f"{long_text} {' '.join(phrase)}"]))
+    assert s[1] > s[0]
+    line = "kalo went home\n"
+    words, lines, cuts = next(toxicity.words_of(pa.array([line * 3 + "other", line])))
+    assert toxicity.line_weights(words[0], lines, cuts).tolist() == pytest.approx([1] * 3 + [1 / 2] * 3 + [1 / 3] * 3 + [1] * 4)
+
+
 # ---- 4: n-gram join --------------------------------------------------------------------------
 
 
