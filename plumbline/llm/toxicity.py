@@ -8,8 +8,8 @@ inflected and compounded forms of an expression share counts), and to counts tha
     P_c(w)     = max(t_c(w) - d, 0) / T_c + b_c P_c(w's six bytes) P(w | its six bytes), and so on down to P
 
 with t_c(w) the number of distinct words before w in the class. P is shared by both: counts of all words and prefixes of
-all documents in a table of fixed size, gathered from the whole corpus. Expressions in few of the sampled
-texts have no class count, so rare ones rest on the shared counts and speak for neither class. A text's
+all documents in a table of fixed size, gathered from the whole corpus. Every expression of the sampled texts has its class
+count; the discount and the shared counts smooth rare ones. A text's
 evidence is the length-normalised difference of the log-likelihoods over all words of the text (those of a line's r-th
 copy weigh 1/r), over its most toxic WINDOW of neighbours, and over those that speak strongly for the toxic class; a logistic curve, fitted on sampled rows that the
 counts left out, turns it into a score.
@@ -32,8 +32,6 @@ from .langid import held_out
 
 SAMPLE_DOCS = 2000  # of each class, the bound of the fit
 SAMPLE_BYTES = 100_000  # a longer text isn't sampled
-LEAST_DOCS = 3  # texts that an expression must stand in, and LEAST_SHARE of the smaller class's besides
-LEAST_SHARE = 0.005
 WINDOW = 8
 STRONG = 3.5
 PREFIXES = (6, 4)  # bytes
@@ -188,25 +186,15 @@ class Model:
         doc = np.concatenate(docs)
         levels = [np.concatenate([p[0][k] for p in parts]) for k in range(1 + len(PREFIXES))]
         pair, before = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
-        known, least = [], LEAST_DOCS + LEAST_SHARE * min(labels.sum(), len(labels) - labels.sum())
-        for x in levels:
-            _, at = np.unique(mix(x + doc.astype(np.uint64)), return_index=True)  # each expression once for each text
-            names, df = _sums(x[at])
-            known.append(np.isin(x, names[df >= least]))
         self.by = []
         for c in (0, 1):
             own = labels[doc] == c
-            pairs = own & known[0]
-            bi, times = _sums(pair[pairs])
-            _, at = np.unique(pair[pairs], return_index=True)
-            ctx, ctx_n = _sums(before[pairs])
-            ctx2, ctx_t = _sums(before[pairs][at])
-            once, twice = (times == 1).sum(), (times == 2).sum()
+            bi, times = _sums(pair[own])
             _, at = np.unique(pair[own], return_index=True)  # each word before counts once
-            chain = []
-            for x, k in zip(levels, known, strict=True):
-                names, of = _sums(x[own][at][k[own][at]])
-                chain.append((names, of))
+            ctx, ctx_n = _sums(before[own])
+            ctx2, ctx_t = _sums(before[own][at])
+            once, twice = (times == 1).sum(), (times == 2).sum()
+            chain = [_sums(x[own][at]) for x in levels]
             self.by.append({"bi": bi, "n": times, "ctx": ctx, "ctx_n": ctx_n, "ctx_t": _at(ctx2, ctx_t, ctx), "d": float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95)), "chain": chain, "total": max(len(at), 1)})
 
     def _log_likelihood(self, c: int, levels: list[np.ndarray], pair: np.ndarray, before: np.ndarray, shared: list[np.ndarray]) -> np.ndarray:

@@ -248,6 +248,28 @@ def test_toxic_phrase_of_words_seen_before_ends_a_long_text():
     assert toxicity.line_weights(words[0], lines, cuts).tolist() == pytest.approx([1] * 3 + [1 / 2] * 3 + [1 / 3] * 3 + [1] * 4)
 
 
+def test_toxic_expressions_of_few_texts_count():
+    import pyarrow as pa
+
+    rng = random.Random(15)
+
+    def text(extra):
+        words = prose("en", 40, rng).split()
+        for w in extra:
+            words.insert(rng.randrange(len(words)), w)
+        return " ".join(words)
+
+    texts = [text([f"zq{i // 4}vile"] * 3 if i % 2 else []) for i in range(400)]  # each in two texts
+    shared = np.zeros(1 << toxicity.SHARED_BITS, np.int64)
+    toxicity.count_shared(pa.array(texts), shared)
+    m = toxicity.Model(texts, np.arange(400) % 2, shared, 0.5)
+    names, counts = m.by[1]["chain"][0]
+    levels = next(toxicity.words_of(pa.array([" ".join(f"zq{k}vile" for k in range(100))])))[0]
+    assert (toxicity._at(names, counts, levels[0]) > 0).all()
+    bad, fine = ([text(x) for _ in range(40)] for x in (["zq7vile", "zq30vile"], []))
+    assert m.score(pa.array(bad)).mean() > m.score(pa.array(fine)).mean()
+
+
 # ---- 4: n-gram join --------------------------------------------------------------------------
 
 
