@@ -32,6 +32,7 @@ LEAST_BLOCK_WORDS = 16384
 SHARD_WORDS = 1 << 22
 MOST_SHARDS = 4096
 SEED = 20240607
+LEAST_ID = -(1 << 63)
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> dict[str | None, float]:
@@ -63,7 +64,7 @@ class Plan:
     sizes: dict[str | None, int]
     targets: dict[str | None, float]
     blocks: dict[str | None, int]
-    units: DataFrame  # source, block, copies, shards, and for a partly taken block: bound, more
+    units: DataFrame  # source, block, copies, shards, and for a partly taken block: parts, more
     shards: int
 
 
@@ -129,14 +130,33 @@ def make_plan(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     out = []
     for (i, b), c in copies.items():
         partly = part.get(i, (None,))[0] == b
-        bound, more = cuts.get(order[i], (None, [])) if partly else (None, [])
-        out.append((order[i], b, c, [shard_of[i, b, k] for k in range(c + partly)], bound, more))
-    units = spark.createDataFrame(out, "u_source string, u_block long, u_copies int, u_shards array<int>, u_bound struct<v:long,id:long>, u_more array<long>")
+        parts, more = cuts.get(order[i], (None, [])) if partly else (None, [])
+        out.append((order[i], b, c, [shard_of[i, b, k] for k in range(c + partly)], parts, more))
+    units = spark.createDataFrame(out, f"u_source string, u_block long, u_copies int, u_shards array<int>, u_parts {_PARTS}, u_more array<long>")
     return Plan(sizes, goal, n, units, shards)
 
 
-def _cut(placed: DataFrame, part: dict[str | None, tuple[int, int]]) -> dict[str | None, tuple[tuple | None, list[int]]]:
-    """For each source's partly taken block, the last (v, doc_id) of those taken in order, and a few later ones that fill the rest.
+_PARTS = "array<struct<cap:long,first:struct<v:long,id:long>,end:struct<v:long,id:long>>>"
+_ARROW_POINT = pa.struct([("v", pa.int64()), ("id", pa.int64())])
+_ARROW_PART = pa.struct([("cap", pa.int64()), ("first", _ARROW_POINT), ("end", _ARROW_POINT)])
+
+
+def fill(sizes: np.ndarray, rest: int) -> tuple[np.ndarray, int]:
+    """Places of positive sizes, largest first, that are taken wherever they fit, and what is left of rest. Runs halve the rest."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    at, runs = 0, [np.zeros(0, np.int64)]
+    while (at := max(at, int(np.searchsorted(-sizes, -rest, "left")))) < len(sizes):
+        to = int(np.searchsorted(sums, sums[at] + rest, "right")) - 1
+        runs.append(np.arange(at, to))
+        rest -= int(sums[to] - sums[at])
+        at = to
+    return np.concatenate(runs), rest
+
+
+def _cut(placed: DataFrame, part: dict[str | None, tuple[int, int]]) -> dict[str | None, tuple[list, list[int]]]:
+    """For each source's partly taken block: parts of its order, in each of which documents up to a size are taken, and others that fill the rest.
+
+    Documents that don't fit are skipped along the whole order, so that what is missed is less than the smallest one left.
 
     A task gets one block of one source: a bounded part of the corpus.
     """
@@ -144,35 +164,52 @@ def _cut(placed: DataFrame, part: dict[str | None, tuple[int, int]]) -> dict[str
         return {}
     spark = placed.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(s, b, r) for s, (b, r) in part.items()], "c_source string, c_block long, c_rest long"))
-    rows = placed.join(wanted, placed["_mix_source"].eqNullSafe(wanted["c_source"]) & (placed["_mix_block"] == wanted["c_block"])).groupBy("_mix_source", "c_rest", "_mix_v", "doc_id").agg(F.sum("_mix_size").alias("size"))
+    rows = placed.join(wanted, placed["_mix_source"].eqNullSafe(wanted["c_source"]) & (placed["_mix_block"] == wanted["c_block"])).groupBy("_mix_source", "c_rest", "_mix_v", "doc_id").agg(F.sum("_mix_size").alias("size"), F.min("_mix_size").alias("least"))
 
     def cut(key, table):
-        t = table.to_pandas().sort_values(["_mix_v", "doc_id"], na_position="first", kind="stable")
-        rest = key[1].as_py()
-        size, v = t["size"].to_numpy(), t["_mix_v"].to_numpy()
-        ids = table.column("doc_id").to_pylist()
-        ids = [ids[j] for j in t.index]
-        k = int(np.searchsorted(np.cumsum(size), rest, "right"))
-        best = None
-        for first in range(k, max(-1, k - 32), -1):  # a shorter prefix may leave a rest that fills better
-            total, more = int(size[:first].sum()), []
-            for j in first + np.argsort(-size[first:], kind="stable"):
-                if len(more) == 64 or total == rest:  # few are needed, the largest that fits going first
-                    break
-                if size[j] and total + size[j] <= rest and ids[j] is not None:
-                    total += int(size[j])
-                    more.append(ids[j])
-            if best is None or total > best[0]:
-                best = total, more, first
-        total, more, k = best
-        left = [j for j in range(k, len(size)) if size[j] and ids[j] is not None and ids[j] not in more]
-        if left and size[last := min(left, key=lambda j: (size[j], v[j]))] < 2 * (rest - total):
-            more.append(ids[last])  # a little beyond the target is nearer
-        bound = {"v": int(v[k - 1]), "id": ids[k - 1]} if k else None
-        return pa.table({"source": pa.array([key[0].as_py()], pa.string()), "bound": pa.array([bound], pa.struct([("v", pa.int64()), ("id", pa.int64())])), "more": pa.array([more], pa.list_(pa.int64()))})
-
-    got = rows.groupBy("_mix_source", "c_rest").applyInArrow(cut, "source string, bound struct<v:long,id:long>, more array<long>").collect()  # a row for each source
-    return {r.source: (tuple(r.bound) if r.bound else None, r.more) for r in got}
+        t = table.to_pandas().assign(id=[LEAST_ID if x is None else x for x in table.column("doc_id").to_pylist()]).sort_values(["_mix_v", "id"], kind="stable")
+        v, ids, size, least = (t[c].to_numpy(np.int64) for c in ("_mix_v", "id", "size", "least"))
+        source, want = key[0].as_py(), key[1].as_py()
+        end = lambda j: (int(v[j]), int(ids[j]))
+        # along the whole order, skipping what doesn't fit; a part starts where the cap no longer tells which
+        parts, taken, rest, cap, start = [], [], want, want, None
+        for j, (x, y) in enumerate(zip(size.tolist(), least.tolist(), strict=True)):
+            if x <= rest:
+                taken.append(j)
+                rest -= x
+            elif y <= cap:
+                parts.append((cap, start, end(j)))
+                cap, start = rest, end(j)
+        parts.append((cap, start, None))
+        taken = np.array(taken, np.int64)
+        heavy = np.argsort(-size, kind="stable")
+        heavy = heavy[(size[heavy] > 0) & (ids[heavy] != LEAST_ID)]
+        best = rest, np.zeros(0, np.int64), len(taken)
+        for back in range(1, min(32, len(taken)) + 1):  # without the last few the rest may fill better
+            if best[0] == 0:
+                break
+            base = taken[: len(taken) - back]
+            free = np.ones(len(size), bool)
+            free[base] = False
+            left = heavy[free[heavy]]
+            more, rest = fill(size[left], want - int(size[base].sum()))
+            if rest < best[0]:
+                best = rest, left[more], len(base)
+        rest, more, k = best
+        free = np.ones(len(size), bool)
+        free[taken[:k]] = free[more] = False
+        left = heavy[free[heavy]]
+        if len(left) and size[left[-1]] < 2 * rest:
+            more = np.append(more, left[-1])  # a little beyond the target is nearer
+        if k < len(taken):
+            stop = end(taken[k])
+            parts = [(c, a, stop if b is None or b > stop else b) for c, a, b in parts if a is None or a < stop]
+        point = lambda x: None if x is None else {"v": x[0], "id": x[1]}
+        made = [{"cap": c, "first": point(a), "end": point(b)} for c, a, b in parts]
+        return pa.table({"source": pa.array([source], pa.string()), "parts": pa.array([made], pa.list_(_ARROW_PART)), "more": pa.array([ids[more].tolist()], pa.list_(pa.int64()))})
+
+    got = rows.groupBy("_mix_source", "c_rest").applyInArrow(cut, f"source string, parts {_PARTS}, more array<long>").collect()  # a row for each source
+    return {r.source: (r.parts, r.more) for r in got}
 
 
 def _planned(rows: DataFrame, plan: Plan) -> DataFrame:
@@ -182,10 +219,12 @@ def _planned(rows: DataFrame, plan: Plan) -> DataFrame:
     rows = _with_block(rows, of)
     u = F.broadcast(plan.units)
     rows = rows.join(u, rows["_mix_source"].eqNullSafe(F.col("u_source")) & (F.col("_mix_block") == F.col("u_block")))
-    # nulls come first in the block's order, as -infinity does; doc_id breaks ties of v
-    extra = F.expr("u_bound IS NOT NULL AND (_mix_v < u_bound.v OR (_mix_v = u_bound.v AND (doc_id IS NULL OR doc_id <= u_bound.id))) OR coalesce(array_contains(u_more, CAST(doc_id AS BIGINT)), false)")
+    # a null doc_id comes first in the block's order
+    place = f"struct(_mix_v AS v, coalesce(CAST(doc_id AS BIGINT), {LEAST_ID + 1}L - 1L) AS id)"
+    inside = f"exists(u_parts, p -> _mix_size <= p.cap AND (p.first IS NULL OR {place} > p.first) AND (p.end IS NULL OR {place} < p.end))"
+    extra = F.expr(f"u_parts IS NOT NULL AND ({inside} OR coalesce(array_contains(u_more, CAST(doc_id AS BIGINT)), false))")
     rows = rows.withColumn("_mix_taken", F.col("u_copies") + F.coalesce(extra, F.lit(False)).cast("int"))
-    return rows.withColumn("_mix_shards", F.slice("u_shards", F.lit(1), F.col("_mix_taken"))).drop("u_source", "u_block", "u_copies", "u_shards", "u_bound", "u_more", "_mix_block")
+    return rows.withColumn("_mix_shards", F.slice("u_shards", F.lit(1), F.col("_mix_taken"))).drop("u_source", "u_block", "u_copies", "u_shards", "u_parts", "u_more", "_mix_block")
 
 
 def _plan_rows(docs: DataFrame, seed: int) -> DataFrame:

@@ -157,6 +157,15 @@ def test_mixing(docs, odd, empty):
     assert mixing.report(empty).count() == 0 and mixing.report(odd).count() == 4
 
 
+def test_mixing_fills_past_a_very_long_document(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_BLOCK_WORDS", 1 << 20)  # one block for each source
+    rows = [(i, "w " * 20, "a") for i in range(600)] + [(600, "w " * 20000, "a")] + [(700 + i, "w " * 40, "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2).cache()
+    for seed in (3, 4, 5):  # the long document comes before what is wanted is taken
+        a = [r for r in mixing.report(docs, weights=(1.0, 5.0), seed=seed).collect() if r.source_size == 32000]
+        assert a[0].target == 8000 and abs(sum(r.taken for r in a) - 8000) < 20
+
+
 # ---- 3, 8: classifiers -----------------------------------------------------------------------
 
 
