@@ -86,6 +86,18 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def hash_share(*keys: str) -> F.Column:
+    """A number in [0, 1) that depends on the keys' values alone."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
+
+
+def _below(by: str, shares: dict, *keys: str) -> F.Column:
+    limit = F.lit(0.0)
+    for value, share in shares.items():
+        limit = F.when(F.col(by) == F.lit(value), F.lit(share)).otherwise(limit)
+    return hash_share(*keys) < limit
+
+
 def hash_sample(rows: DataFrame, key: str, by: str, per_class: int) -> DataFrame:
     """About per_class rows of each value of `by` (all where there are fewer): those whose hash of `key` lies below a share.
 
@@ -93,10 +105,17 @@ def hash_sample(rows: DataFrame, key: str, by: str, per_class: int) -> DataFrame
     hundred, or a little more where classes are small. The number of classes is bounded by their nature.
     """
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(by) == F.lit(r[0]), F.lit(min(1.0, per_class / r["n"]))).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30) < share)
+    return rows.where(_below(by, {r[0]: min(1.0, per_class / r["n"]) for r in counts}, key))
+
+
+def text_sample(rows: DataFrame, by: str, per_class: int, most_bytes: int) -> DataFrame:
+    """Of rows (doc_id, text, `by`, others) about per_class of each value of `by` and about most_bytes of its text, all where there is less.
+
+    Rows fall in by the hash of doc_id and whole text, whatever a text's length; repeated rows fall alike and are taken once.
+    """
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    shares = {r[0]: min(1.0, per_class / r["n"], most_bytes / max(r["bytes"] or 0, 1)) for r in counts}
+    return rows.where(_below(by, shares, "doc_id", "text")).dropDuplicates([by, "doc_id", "text"])
 
 
 # ---- fixed-size filters -------------------------------------------------------------------------

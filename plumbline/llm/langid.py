@@ -1,7 +1,8 @@
 """Language ID by compression: the smallest zstandard encoding under per-language raw-content dictionaries.
 
-Training takes, for each learned language, about SAMPLE_DOCS whole labelled texts (those whose hash of doc_id
-lies below a share) and joins their normalised text to a dictionary of at most DICT_BYTES. Prediction encodes every
+Training takes, for each learned language, about SAMPLE_DOCS labelled texts and SAMPLE_BYTES of them (rows whose hash of
+doc_id and text lies below a share). A dictionary has at most DICT_BYTES: its texts share them evenly, and what short texts leave goes
+to longer ones; a text longer than its share gives pieces of PIECE_CHARS at even distances over its whole length. Prediction encodes every
 whole text, block by block, under each dictionary; the language with the smallest total wins. The margin
 is how much smaller it is than the second, as a part of the second; a text is rejected when it has no letter,
 or when its margin is below MIN_MARGIN. Every dictionary keeps its own size. One shorter than others is credited with what
@@ -9,8 +10,8 @@ theirs save on foreign text beyond its size, but with no more than it saves on t
 
 Defined cases: a null text, an empty one and one without a letter give `und`, score 0, rejected; a tie goes to
 the language with most labelled texts, then the first by code point, and is rejected; with no learned language all is `und`; rows with the
-same doc_id each get their row; a null doc_id counts as held out from learning and gets a row with a null
-doc_id; other columns are ignored.
+same doc_id each get their row, and teach once where the text repeats too; a null doc_id counts as held out from learning and gets a row with a null
+doc_id; very long texts are encoded whole, block by block; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, hash_sample, query_rows
+from .common import Query, query_rows, text_sample
 
 SAMPLE_DOCS = 96  # labelled texts of each language, the bound of the fit
+SAMPLE_BYTES = 1 << 20  # of each language, about, in all
 DICT_BYTES = 64 << 10
+PIECE_CHARS = 256
 BLOCK_CHARS = 4096
 MIN_MARGIN = 0.002
 PROBES = 8  # languages whose text measures what a larger dictionary saves by its size alone
@@ -41,18 +44,38 @@ def normalised(text: str | None) -> str:
     return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
+def spread(text: str, most_bytes: int) -> bytes:
+    """The whole text where it fits, else pieces at even distances from its start to its end."""
+    raw = text.encode()
+    if len(raw) <= most_bytes:
+        return raw
+    room = most_bytes * len(text) // len(raw)  # in characters
+    n = max(1, room // (PIECE_CHARS + 1))
+    size = min(PIECE_CHARS, room)
+    starts = (np.arange(n) * (len(text) - size)) // max(n - 1, 1)
+    return " ".join(text[i : i + size] for i in starts.tolist()).encode()[:most_bytes]
+
+
+def dictionary(texts: list[str], dict_bytes: int = DICT_BYTES) -> bytes:
+    """Distinct normalised texts, each with an even share of the bytes; shares that short texts leave go to longer ones."""
+    texts = [t for t in dict.fromkeys(texts) if t]
+    parts: dict[int, bytes] = {}
+    room = dict_bytes
+    for k, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        parts[i] = spread(texts[i], max(room // (len(texts) - k) - 1, 0))
+        room -= len(parts[i]) + 1
+    return b" ".join(parts[i] for i in range(len(texts)) if parts[i])
+
+
+def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
     """labelled: doc_id, text, lang -> language to dictionary. What reaches the driver is bounded for each language."""
-    ids = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang")
-    chosen = hash_sample(ids, "doc_id", "lang", sample_docs).distinct()
-    picked = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "doc_id", "text").collect()
-    size = {r.lang: r.n for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
+    picked = text_sample(rows, "lang", sample_docs, sample_bytes).collect()
+    size = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     out: dict[str, bytes] = {}
     for lang in sorted({r.lang for r in picked}, key=lambda x: (-size[x], x)):
-        rows = sorted((r for r in picked if r.lang == lang), key=lambda r: (r.doc_id, r.text))
-        share = max(1024, 4 * dict_bytes // max(len(rows), 1))
-        body = " ".join(t[:share] for t in dict.fromkeys(normalised(r.text) for r in rows) if t).encode()[:dict_bytes]
-        if body:
+        mine = sorted((r for r in picked if r.lang == lang), key=lambda r: (r.doc_id, r.text))
+        if body := dictionary([normalised(r.text) for r in mine], dict_bytes):
             out[lang] = body
     return out
 

@@ -4,12 +4,14 @@ Features: a text's distinct words, hashed to WORD_BITS bits; statistics of its s
 word lengths, repetition), cut to bins at the sample's quantiles; and the metadata column n_chars, alone and against the
 text's own length. Each feature has a weight and a vector of RANK numbers; all pairs interact through the vectors'
 products, which sum in linear time as half of the square of the sum minus the sum of squares. Fitted by AdaGrad
-on a bounded sample of labelled rows, weighted to the classes' shares among all of them.
-
-Defined cases: a null text counts as empty, an empty one has statistics alone; a null or negative n_chars is a value of its
-own; equal rows score alike; repeated rows each get their row; a null doc_id counts as held out; labels that are null or
-other than 0 and 1 teach nothing; without both classes every score is the known share (0.5 without labels); an empty
-table gives no rows; labels, lang, source and doc_id are never features.
+on a sample of labelled rows (about SAMPLE_DOCS of each class and SAMPLE_BYTES of their texts, by a hash share of rows,
+whatever a text's length), weighted to the classes' shares among all of them.
+
+Defined cases: a null text counts as empty, in learning too; an empty one has statistics alone; very long texts count whole, a slice
+of texts at a time; a null or negative n_chars is a value of its own; equal rows score alike; repeated rows each get
+their row and teach once; a null doc_id counts as held out; labels that are null or other than 0 and 1 teach nothing; without both classes every
+score is the known share (0 without labels); an empty table gives no rows; labels, lang, source and doc_id are never
+features; columns other than doc_id, text and n_chars are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from .langid import held_out
 from .toxicity import sample
 
 SAMPLE_DOCS = 3000  # of each class, the bound of the fit
+SAMPLE_BYTES = 12 << 20  # of each class's texts, about, in all
 WORD_BITS = 15
 BINS = 12
 RANK = 8
@@ -141,7 +144,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learns, per_class: int = SAMPLE_DOCS) -> Model:
-    rows, share = sample(docs, labels, "quality", learns, per_class, columns=("n_chars",))
+    rows, share = sample(docs, labels, "quality", learns, per_class, SAMPLE_BYTES, ("n_chars",))
     return Model([(r.text, r.n_chars) for r in rows], np.array([r.label for r in rows], int), share)
 
 

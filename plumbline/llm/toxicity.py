@@ -14,9 +14,13 @@ evidence is the length-normalised difference of the log-likelihoods over all wor
 copy weigh 1/r), over its most toxic WINDOW of neighbours, and over those that speak strongly for the toxic class; a logistic curve, fitted on sampled rows that the
 counts left out, turns it into a score.
 
-Defined cases: null, empty and wordless texts have no evidence and score as such (the curve at zero evidence, at most
-0.29); equal texts score alike; repeated rows each get their row; a null doc_id counts as held out; labels that are null or
-other than 0 and 1 teach nothing; without both classes every score is the known share; an empty table gives no rows.
+The fit takes about SAMPLE_DOCS labelled texts of each class and about SAMPLE_BYTES of their bytes, by a hash share of rows: a
+text's length neither lets it in nor keeps it out, and the sampled ones teach whole.
+
+Defined cases: null, empty and wordless texts have no evidence and score the classes' known share; a null text teaches as
+an empty one; very long texts are scored whole, in slices of texts; equal texts score alike; repeated rows each get their row and teach once; a null doc_id
+counts as held out; labels that are null or other than 0 and 1 teach nothing; a doc_id with both labels teaches 1; without both
+classes every score is the known share; an empty table gives no rows; columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_HASH, Query, hash_sample, mix, powers, query_rows, slices, utf8
+from .common import BYTE_HASH, Query, hash_sample, mix, powers, query_rows, slices, text_sample, utf8, written
 from .langid import held_out
 
 SAMPLE_DOCS = 2000  # of each class, the bound of the fit
-SAMPLE_BYTES = 100_000  # a longer text isn't sampled
+SAMPLE_BYTES = 8 << 20  # of each class's texts, about, in all
 WINDOW = 8
 STRONG = 3.5
 PREFIXES = (6, 4)  # bytes
@@ -238,7 +242,7 @@ class Model:
             return np.full(len(texts), self.share)
         x = self.evidence(texts)
         s = 1 / (1 + np.exp(-np.clip(np.concatenate([np.ones((len(x), 1)), (x - self.centre) / self.scale], 1) @ self.curve, -40, 40)))
-        return np.where(x.any(axis=1), s, np.minimum(s, 0.29))
+        return np.where(x.any(axis=1), s, self.share)  # without evidence, what is known of all
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -256,12 +260,14 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def sample(docs: DataFrame, labels: DataFrame, column: str, learns, per_class: int, most_bytes: int = SAMPLE_BYTES, columns: tuple[str, ...] = ()) -> tuple[list, float]:
-    """About per_class (its hash share) whole texts of each class of the labelled rows that `learns` admits, and the share of class 1 among all of them."""
+    """About per_class whole texts of each class of the labelled rows that `learns` admits, about most_bytes of them, and the share of class 1 among all of them."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").where(learns)
     share = rows.agg(F.avg("label")).first()[0]
     ids = hash_sample(rows, "doc_id", "label", per_class).groupBy("doc_id").agg(F.max("label").alias("label"))
-    texts = docs.where(F.octet_length("text") <= most_bytes).join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text", *columns)
-    return sorted(texts.collect(), key=lambda r: (r.doc_id, r.text)), float(share if share is not None else 0.0)  # bounded by per_class and most_bytes
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *columns)
+    chosen = written(texts.join(F.broadcast(ids), "doc_id"), "labelled")  # ids: about per_class of each class
+    found = text_sample(chosen, "label", per_class, most_bytes).collect()  # bounded by per_class and most_bytes
+    return sorted(found, key=lambda r: (r.doc_id, r.text)), float(share if share is not None else 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learns, per_class: int = SAMPLE_DOCS) -> Model:
