@@ -58,6 +58,23 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)  # the cleaner works beside
 
 
+BROADCAST_BYTES = 16 << 20
+
+
+def small_side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """The driver's rows as a table for the smaller side of a join: broadcast up to BROADCAST_BYTES, by a count of its values' sizes; beyond, a plain join."""
+
+    def size(x) -> int:
+        if isinstance(x, str):
+            return 32 + 4 * len(x)
+        if isinstance(x, dict | list | tuple):
+            return 32 + sum(map(size, x.values() if isinstance(x, dict) else x))
+        return 16
+
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if sum(map(size, rows)) <= BROADCAST_BYTES else made
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -142,7 +142,7 @@ def test_mixing(docs, odd, empty):
     rows = mixing.report(docs).collect()
     assert len(rows) == len(ROWS)
     size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, *_ in ROWS}
-    assert all(r.size == size[r.doc_id] and r.taken in (0, r.size, 2 * r.size, 3 * r.size) and len(r.shards) == r.copies for r in rows)
+    assert all(r.size == size[r.doc_id] and r.taken in (0, r.size, 2 * r.size, 3 * r.size) and len(r.leaves) == r.copies for r in rows)
     source = {i: s for i, _, _, s, _ in ROWS}
     taken = Counter()
     for r in rows:
