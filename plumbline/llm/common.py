@@ -135,6 +135,25 @@ def text_sample(rows: DataFrame, by: str, per_class: int, most_bytes: int) -> Da
     return rows.where(_below(by, shares, "doc_id", "text")).dropDuplicates([by, "doc_id", "text"])
 
 
+# ---- joins with hot keys ------------------------------------------------------------------------
+
+HOT = 8192
+
+
+def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """rows joined to `groups`, which has one row for each key and in `size` how many rows the key has, at least.
+
+    Keys with more than a 1/HOT part of all rows are at most HOT, and are broadcast; of the others none fills a task.
+    Both sides are read more than once: they should be written tables.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.where(F.col(size) > total / HOT)
+    if not hot.head(1):
+        return rows.join(groups, key)
+    mild = groups.where(F.col(size) <= total / HOT)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(mild, key))
+
+
 # ---- fixed-size filters -------------------------------------------------------------------------
 
 FILTER_BITS_MOST = 1 << 26  # 8 MB: the proven bound of what is broadcast; beyond it more keys pass, none is lost
