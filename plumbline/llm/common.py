@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
+import shutil
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,37 +26,51 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc.applicationId not in _OWN:
-        _OWN[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="plumbline-")
+        made = tempfile.mkdtemp(prefix="plumbline-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _OWN[sc.applicationId] = "file://" + made
     return _OWN[sc.applicationId]
 
 
 ARROW_ROWS = 4000
 _ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df after one write to the shared folder: cuts lineage, and a lost executor costs no recomputation.
 
-    While it runs, Arrow batches are small, so that whole texts and sets in them take little memory.
+    While it runs, Arrow batches are small, so that whole texts and sets in them take little memory; the shuffle files of the
+    write go when it ends. discard() deletes the table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    before = spark.conf.get(_ARROW)
-    spark.conf.set(_ARROW, str(min(ARROW_ROWS, int(before)) if int(before) > 0 else ARROW_ROWS))
-    try:
+    rows = int(spark.conf.get(_ARROW))
+    with _settings(spark, {_ARROW: str(min(ARROW_ROWS, rows) if rows > 0 else ARROW_ROWS), _CLEAN: "true"}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_ARROW, before)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._plumbline_path = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of finished steps, which otherwise stay until the driver happens to collect its garbage."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)  # the cleaner works beside
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing still to be computed reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._plumbline_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BROADCAST_BYTES = 16 << 20
@@ -75,10 +90,6 @@ def small_side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     return F.broadcast(made) if sum(map(size, rows)) <= BROADCAST_BYTES else made
 
 
-def parallelism(spark: SparkSession) -> int:
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about limit bytes each; a longer row stands alone."""
     at, n = 0, len(lengths)
@@ -154,6 +165,21 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFra
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(mild, key))
 
 
+def cell_join(left: DataFrame, right: DataFrame, key: str, by: tuple[str, str], cell: int = 512) -> DataFrame:
+    """An equi-join of two written tables whose keys may be hot on either side.
+
+    A key's rows are dealt by hash of a column (`by`: left's, right's) to parts of about `cell` rows, and each pair of parts meets on its own.
+    """
+    n, m = (t.groupBy(key).agg(F.count(F.lit(1)).alias(c)) for t, c in ((left, "_n"), (right, "_m")))
+    sizes = written(n.join(m, key), "join-sizes")
+    parts = lambda c: F.ceil(F.col(c) / cell).cast("int")
+    part = lambda column, c: F.pmod(F.xxhash64(column), parts(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), parts(c) - 1))
+    a = hot_join(left, sizes, key, "_n").withColumn("_p", part(by[0], "_n")).withColumn("_q", every("_m")).drop("_n", "_m")
+    b = hot_join(right, sizes, key, "_m").withColumn("_q", part(by[1], "_m")).withColumn("_p", every("_n")).drop("_n", "_m")
+    return a.join(b, [key, "_p", "_q"]).drop("_p", "_q")
+
+
 # ---- fixed-size filters -------------------------------------------------------------------------
 
 FILTER_BITS_MOST = 1 << 26  # 8 MB: the proven bound of what is broadcast; beyond it more keys pass, none is lost
@@ -253,7 +279,9 @@ def components(edges: DataFrame) -> DataFrame:
         ends = e.select(F.col("a").alias("id"), F.lit(1).alias("child")).union(e.select("b", F.lit(0)))
         ends = ends.groupBy("id").agg(F.sum("child").alias("times"), F.min("child").alias("root"))
         if not ends.agg(F.max(F.expr("times > 1 OR (times > 0 AND root = 0)"))).first()[0]:  # each vertex hangs on one root, and no root hangs
-            return e.select(F.col("a").alias("id"), F.col("b").alias("root"))
+            out = e.select(F.col("a").alias("id"), F.col("b").alias("root"))
+            out._plumbline_path = e._plumbline_path
+            return out
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -261,7 +289,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = low.groupBy("a").agg(F.min("b").alias("m"))
         small = low.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
-        e = written(small, "edges")
+        before, e = e, written(small, "edges")
+        discard(before)
 
 
 # ---- words and hashes ---------------------------------------------------------------------------

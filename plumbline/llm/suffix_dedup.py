@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, build_filter, in_filter, mix, query_rows, release, utf8, written
+from .common import Query, build_filter, in_filter, mix, query_rows, utf8, written
 
 WINDOW = 50
 ANCHOR = 16
@@ -363,7 +363,6 @@ def dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> Dat
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text: spans (bytes) and the kept bytes too."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranges = covered(docs, window)
-    release(docs.sparkSession)
     ids = ranges.select("id").distinct()
     table, bits = build_filter(ids, ids.count())
 
