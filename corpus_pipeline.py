@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame: the columns of d
 stages, rows are written to the shared folder of spark.checkpoint.dir, so that a lost executor costs one stage at most.
 
 Defined cases: nulls in any column, empty and very long texts, repeated rows and empty tables pass each stage as its
-operator defines; texts without a letter are rejected by the first. The mix may take a document up to three
-times; it then comes that often to the packing.
+operator defines; texts without a letter are rejected by the first. Columns of any further name are kept, with their values, by all
+stages but the last. The mix may take a document up to three times; it then comes that often to the packing.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import exact_dedup, langid, mixing, ngram_join, packing
-from plumbline.llm.common import query_rows, release, written
+from plumbline.llm.common import query_rows, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar shingle sets the one with the smallest doc_id."""
-    dropped = ngram_join.join(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")
+    dropped = ngram_join.join(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct("*").alias("row"))
+    return rows.join(dropped, "id", "left_anti").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +54,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = query_rows(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
-        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
