@@ -8,18 +8,22 @@ windows that are alone, and the passes end at the window's depth: the groups tha
 windows, compared byte by byte. In each group all but those of the smallest doc_id are covered.
 
 Copies are cut down before they move: of equal fragments in a batch (and again among batches) only the smallest doc_id's goes
-on, the others are covered at once, so that a group of copies costs a fragment for each batch, not for each row. Long
-texts are cut to overlapping pieces. Documents whose text nothing removes never move; a filter of at most 8 MB tells.
+on, the others are covered at once, so that a group of copies costs a fragment for each batch, not for each row. An anchor
+that stands at very many places, by counts of all 16-byte strings of all documents, would fill a task with fragments that differ
+around it: its windows are dealt one by one by all their bytes instead. The number of groups grows with the corpus; beyond FAN of
+them, fragments are dealt to FAN coarse groups first, and those to fine ones, so that a batch never goes to more than about FAN
+places. Long texts are cut to overlapping pieces. Documents whose text nothing removes never move; a filter of at most 8 MB tells.
 
 Defined cases: a null text counts as empty; texts shorter than the window lose nothing; windows that repeat within a document,
 or in rows of the same doc_id, remove nothing there; a null doc_id neither removes nor loses bytes; removed bytes
-that touch form one span; an empty table gives no rows; other columns are ignored.
+that touch form one span; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,13 @@ from .common import Query, build_filter, in_filter, mix, query_rows, utf8, writt
 WINDOW = 50
 ANCHOR = 16
 SLICE_BYTES = 1 << 20  # hashed at a time; positions in a slice fit 24 bits
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
+BATCH_ROWS = 500_000  # fragments
 GROUP_BYTES = 4 << 20  # of text, for each group that a task sorts at once
+FAN = 8192  # groups that a batch is dealt to
+PLACES = 4096  # positions to a slot of the anchors' table, while it has fewer than 2^MOST_BITS slots (16 MB)
+MOST_BITS = 21
+HOT_TIMES = 6  # a slot is hot beyond so many times the mean
 LEVEL = 9
 _LOW = np.uint64((1 << 24) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -59,13 +68,68 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - size)], x[n - size :]) if n > size else x
 
 
-def _fragments(raw: np.ndarray, starts: np.ndarray, docs: np.ndarray, bases: np.ndarray, s: Shape, groups: int):
-    """Fragments of the pieces that start at `starts` in raw: rows of bytes from the first window on, and their columns."""
+def _hashes(raw: np.ndarray) -> np.ndarray:
+    """The hash of the ANCHOR bytes from each place on."""
     n = len(raw)
     v = raw.astype(np.uint64)
     for shift in (1, 2, 4):
         v = (v[:-shift] << np.uint64(8 * shift)) | v[shift:]
-    h = mix(v[: n - ANCHOR + 1] * _C1 + v[8 : 8 + n - ANCHOR + 1] * _C2)
+    return mix(v[: n - ANCHOR + 1] * _C1 + v[8 : 8 + n - ANCHOR + 1] * _C2)
+
+
+def hot_anchors(docs: DataFrame, total: int, window: int) -> np.ndarray:
+    """For each slot of the anchors' hashes, whether strings of 16 bytes with such a hash stand at more than HOT_TIMES as many places as the mean."""
+    bits = int(np.clip(np.ceil(np.log2(max(total, 1) / PLACES)), 12, MOST_BITS))
+    shift, step = np.uint64(64 - bits), 1 << 12
+
+    def count(batches):
+        table = np.zeros(1 << bits, np.int64)
+        for b in batches:
+            raw, _ = utf8(b.column("text"))
+            for at in range(0, max(len(raw) - ANCHOR + 1, 0), SLICE_BYTES):
+                h = _hashes(raw[at : at + SLICE_BYTES + ANCHOR - 1])
+                table += np.bincount((h >> shift).astype(np.int64), minlength=len(table))
+        rows = [(i, table[i * step : (i + 1) * step]) for i in range(len(table) // step)]
+        rows = [(i, x.astype("<i8").tobytes()) for i, x in rows if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["slot", "counts"])
+
+    def add(key, table):
+        out = sum(np.frombuffer(x, "<i8") for x in table.column("counts").to_pylist())
+        return pa.table({"slot": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([out.tobytes()], pa.binary())})
+
+    counts = np.zeros(1 << bits, np.int64)
+    for r in docs.select("text").mapInArrow(count, "slot int, counts binary").groupBy("slot").applyInArrow(add, "slot int, counts binary").collect():  # at most 16 MB
+        counts[r.slot * step : (r.slot + 1) * step] = np.frombuffer(r.counts, "<i8")
+    return counts > HOT_TIMES * max(counts.mean(), PLACES / 2)
+
+
+@dataclass
+class Deal:
+    """Where fragments go: a fine group by the anchor, or by all bytes of a window whose anchor is hot."""
+
+    shape: Shape
+    groups: int
+    hot: np.ndarray
+
+    def is_hot(self, h: np.ndarray) -> np.ndarray:
+        return self.hot[(h >> np.uint64(64 - (len(self.hot).bit_length() - 1))).astype(np.int64)]
+
+    def group(self, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        key = h.copy()
+        at = np.flatnonzero(self.is_hot(h))
+        for word in range(rows.shape[1] // 8):
+            key[at] = mix(key[at] * _C1 + rows[at].view(np.uint64)[:, word])
+        return (mix(key) % np.uint64(self.groups)).astype(np.int64)
+
+    def of(self, doc: np.ndarray) -> np.ndarray:
+        """The group that gathers a document's covered ranges."""
+        return (mix(doc.astype(np.uint64)) % np.uint64(self.groups)).astype(np.int64)
+
+
+def _fragments(raw: np.ndarray, starts: np.ndarray, docs: np.ndarray, bases: np.ndarray, deal: Deal):
+    """Fragments of the pieces that start at `starts` in raw: rows of bytes from the first window on, and their columns."""
+    s, n = deal.shape, len(raw)
+    h = _hashes(raw)
     best = sliding_min((h & ~_LOW) | np.arange(len(h), dtype=np.uint64), s.places)
     valid = np.ones(len(best), bool)
     for a, b in zip(starts.tolist(), np.append(starts[1:], n).tolist(), strict=True):
@@ -74,18 +138,17 @@ def _fragments(raw: np.ndarray, starts: np.ndarray, docs: np.ndarray, bases: np.
     if not len(at):
         return None
     anchor = (best[at] & _LOW).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(anchor) != 0)]))
+    new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(anchor) != 0)])
+    new |= deal.is_hot(h[anchor])  # a window of a hot anchor goes alone
+    first = np.flatnonzero(new)
     begin, end = at[first], at[np.append(first[1:], len(at)) - 1] + s.window
     anchor = anchor[first]
     padded = np.concatenate([raw, np.zeros(s.width, np.uint8)])
     rows = np.lib.stride_tricks.sliding_window_view(padded, s.width)[begin]
     size = end - begin
-    rows = np.where(np.arange(s.width) < size[:, None], rows, np.uint8(0))
+    rows[np.arange(s.width) >= size[:, None]] = 0
     piece = np.searchsorted(starts, begin, "right") - 1
-    return {
-        "rows": rows, "left": (anchor - begin).astype(np.uint8), "size": size.astype(np.uint8), "doc": docs[piece], "start": bases[piece] + begin - starts[piece],
-        "group": (mix(h[anchor]) % np.uint64(groups)).astype(np.int64),
-    }
+    return {"rows": rows, "left": (anchor - begin).astype(np.uint8), "size": size.astype(np.uint8), "doc": docs[piece], "start": bases[piece] + begin - starts[piece], "group": deal.group(h[anchor], rows)}
 
 
 def _equal_runs(rows: np.ndarray, left: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,40 +224,40 @@ def _decode(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def _flush(found: list[dict], s: Shape, groups: int):
-    """One blob for each group: unlike fragments, whose places of the smallest doc_id go along, and what is covered already."""
+def _flush(found: list[dict], ranges: list[tuple], deal: Deal, fine: int):
+    """One blob for each group (of `fine` groups that go together): unlike fragments, whose places of the smallest doc_id go along, and what is covered already."""
     f = {k: np.concatenate([x[k] for x in found]) for k in found[0]}
     order, cls = _equal_runs(f["rows"], f["left"], f["size"])
-    first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]])) if len(cls) else np.zeros(0, np.int64)
     doc = f["doc"][order]
-    least = np.minimum.reduceat(doc, first)
+    least = np.minimum.reduceat(doc, first) if len(first) else doc
     stays = doc == least[cls]
     gone = order[~stays]
-    covered = _merge(f["doc"][gone], f["start"][gone], f["start"][gone] + f["size"][gone])
+    done = [*ranges, (f["doc"][gone], f["start"][gone], f["start"][gone] + f["size"][gone])]
+    covered = _merge(*(np.concatenate(x) for x in zip(*done, strict=True)))
     times = np.bincount(cls[stays], minlength=len(first))
     unique, start = order[first], f["start"][order][stays]
     where = np.concatenate([[0], np.cumsum(times)])
-    group = f["group"][unique]
+    group = f["group"][unique] // fine
     by = np.lexsort((f["start"][unique], least, group))
-    cuts = np.searchsorted(group[by], np.arange(groups + 1))
-    c_cuts_of = (mix(covered[0].astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-    c_by = np.argsort(c_cuts_of, kind="stable")
-    c_cuts = np.searchsorted(c_cuts_of[c_by], np.arange(groups + 1))
-    ids, blobs = [], []
-    for g in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(c_cuts) > 0)).tolist():
-        u = by[cuts[g] : cuts[g + 1]]
-        c = c_by[c_cuts[g] : c_cuts[g + 1]]
+    c_group = deal.of(covered[0]) // fine
+    c_by = np.argsort(c_group, kind="stable")
+    ids = np.union1d(group, c_group)  # groups that are present, however many there are in all
+    cuts, ends = (np.searchsorted(group[by], ids, x) for x in ("left", "right"))
+    c_cuts, c_ends = (np.searchsorted(c_group[c_by], ids, x) for x in ("left", "right"))
+    blobs = []
+    for a, z, c_a, c_z in zip(cuts.tolist(), ends.tolist(), c_cuts.tolist(), c_ends.tolist(), strict=True):
+        u, c = by[a:z], c_by[c_a:c_z]
         rows, size, t = f["rows"][unique[u]], f["size"][unique[u]], times[u]
         places = np.repeat(where[u], t) + np.arange(int(t.sum())) - np.repeat(np.cumsum(t) - t, t)
-        ids.append(g)
         blobs.append(
-            _encode({"bytes": rows[np.arange(s.width) < size[:, None]], "left": f["left"][unique[u]], "size": size, "doc": least[u], "times": t, "start": start[places], "c_doc": covered[0][c], "c_start": covered[1][c], "c_end": covered[2][c]})
+            _encode({"bytes": rows[np.arange(deal.shape.width) < size[:, None]], "left": f["left"][unique[u]], "size": size, "doc": least[u], "times": t, "start": start[places], "c_doc": covered[0][c], "c_start": covered[1][c], "c_end": covered[2][c]})
         )
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["group", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
 
-def _deal(window: int, groups: int):
-    s = Shape(window)
+def _deal(deal: Deal, fine: int):
+    window = deal.shape.window
 
     def run(batches):
         found: list[dict] = []
@@ -206,7 +269,7 @@ def _deal(window: int, groups: int):
             nonlocal waiting
             raw = np.concatenate([p for _, _, p in pieces])
             starts = np.concatenate([[0], np.cumsum([len(p) for _, _, p in pieces])[:-1]])
-            out = _fragments(raw, starts, np.array([d for d, _, _ in pieces]), np.array([b for _, b, _ in pieces]), s, groups) if len(raw) >= window else None
+            out = _fragments(raw, starts, np.array([d for d, _, _ in pieces]), np.array([b for _, b, _ in pieces]), deal) if len(raw) >= window else None
             pieces.clear()
             waiting = 0
             if out:
@@ -224,15 +287,51 @@ def _deal(window: int, groups: int):
                     pieces.append((i, base, piece))
                     waiting += len(piece)
                     held += len(piece)
-                    if held >= BATCH_BYTES:
+                    if held >= BATCH_BYTES or sum(len(x["left"]) for x in found) >= BATCH_ROWS:
                         cut()
                         if found:
-                            yield _flush(found, s, groups)
+                            yield _flush(found, [], deal, fine)
                         found, held = [], 0
             if pieces:
                 cut()  # pieces view this batch
         if found:
-            yield _flush(found, s, groups)
+            yield _flush(found, [], deal, fine)
+
+    return run
+
+
+def _laid(f: dict[str, np.ndarray], width: int, at: np.ndarray) -> np.ndarray:
+    """A decoded blob's fragments as rows of bytes, each from its column `at` on."""
+    columns = np.arange(width)
+    mat = np.zeros((len(f["left"]), width), np.uint8)
+    mat[(columns >= at[:, None]) & (columns < (at + f["size"])[:, None])] = f["bytes"]
+    return mat
+
+
+def _deal_again(deal: Deal):
+    """Blobs of coarse groups -> blobs of fine groups, what came from several batches as one."""
+    s = deal.shape
+
+    def run(batches):
+        found: list[dict] = []
+        ranges: list[tuple] = []
+        held = 0
+        for b in batches:
+            for blob in b.column("blob"):
+                f = _decode(blob.as_buffer().to_pybytes())
+                rows = _laid(f, s.width, np.zeros(len(f["left"]), np.int64))
+                at = f["left"][:, None] + np.arange(ANCHOR)
+                anchor = np.take_along_axis(rows, at.astype(np.int64), 1).view(">u8").astype(np.uint64)
+                group = deal.group(mix(anchor[:, 0] * _C1 + anchor[:, 1] * _C2), rows)
+                of = np.repeat(np.arange(len(rows)), f["times"])  # a row for each place
+                found.append({"rows": rows[of], "left": f["left"][of], "size": f["size"][of], "doc": f["doc"][of], "start": f["start"], "group": group[of]})
+                ranges.append((f["c_doc"], f["c_start"], f["c_end"]))
+                held += len(of) + len(f["c_doc"])
+                if held >= BATCH_ROWS:
+                    yield _flush(found, ranges, deal, 1)
+                    found, ranges, held = [], [], 0
+        if found:
+            yield _flush(found, ranges, deal, 1)
 
     return run
 
@@ -286,10 +385,7 @@ def _sort(window: int):
         done = [(f["c_doc"], f["c_start"], f["c_end"])]
         if n:
             size, left, doc, times = f["size"].astype(np.int64), f["left"], f["doc"], f["times"].astype(np.int64)
-            columns = np.arange(s.width)
-            at = (s.side - left.astype(np.int64))[:, None]
-            mat = np.zeros((n, s.width), np.uint8)
-            mat[(columns >= at) & (columns < at + size[:, None])] = f["bytes"]
+            mat = _laid(f, s.width, s.side - left.astype(np.int64))
             order, cls = _equal_runs(mat, left, f["size"])
             first = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
             least = np.minimum.reduceat(doc[order], first)
@@ -326,8 +422,11 @@ def _sort(window: int):
 def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, s, e): byte ranges of documents to be removed; they may overlap."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(8, math.ceil(total / GROUP_BYTES))
-    dealt = docs.mapInArrow(_deal(window, groups), "group int, blob binary")
+    deal = Deal(Shape(window), max(8, math.ceil(total / GROUP_BYTES)), hot_anchors(docs, total, window))
+    fine = math.ceil(deal.groups / FAN)
+    dealt = docs.mapInArrow(_deal(deal, fine), "group long, blob binary")
+    if fine > 1:
+        dealt = dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_deal_again(deal), "group long, blob binary")
     return written(dealt.groupBy("group").applyInArrow(_sort(window), "id long, s long, e long"), "covered")
 
 
