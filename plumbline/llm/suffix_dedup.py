@@ -427,6 +427,8 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     dealt = docs.mapInArrow(_deal(deal, fine), "group long, blob binary")
     if fine > 1:
         dealt = dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_deal_again(deal), "group long, blob binary")
+    if (tasks := deal.groups // 16) > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartition(tasks, "group")  # a task's share stays the same as the corpus grows
     return written(dealt.groupBy("group").applyInArrow(_sort(window), "id long, s long, e long"), "covered")
 
 
