@@ -32,6 +32,7 @@ CACHE_WORDS = 300_000
 CHUNK_CHARS = 1 << 20
 #: Fixed values of the vocabulary's own pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_HIGH = bytes(range(0xCC, 0x100))  # lead bytes of code points from 768 on
 ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")  # str.split() cuts there, the tokenizer doesn't
 
 
@@ -61,7 +62,7 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = iter(range(256, 512))
         self.letter = [chr(b) if b in plain else chr(next(other)) for b in range(256)]  # the byte-level alphabet
-        odd = "".join(c for c in map(chr, range(33, 768)) if any(self._fast(w.lower()) != self._whole(w) for w in (f"a{c}b", f"{c}{c}1", f"x.{c}")) and not c.isspace())
+        self.odd = odd = "".join(c for c in map(chr, range(33, 768)) if any(self._fast(w.lower()) != self._whole(w) for w in (f"a{c}b", f"{c}{c}1", f"x.{c}")) and not c.isspace())
         self.slow = regex.compile(rf"[^\x00-˿]|<\|{''.join('|' + regex.escape(c) for c in odd)}").search
 
     @staticmethod
@@ -90,21 +91,32 @@ class WordEncoder:
     def _words(self, text: str, plain: bool) -> bytes:
         words = text.lower().split() if plain else text.split()
         cache = self.cache
-        missing = set(words).difference(cache)
-        if missing:
+        found = list(map(cache.get, words))
+        if None in found:
             if len(cache) > self.most:
                 cache.clear()
-                missing = set(words)
             if len(self.parts) > 3 * self.most:
                 self.parts.clear()
-            for w in missing:
-                cache[w] = self._whole(w) if not plain and self.slow(w) else self._fast(w.lower())
-        return b"".join([cache[w] for w in words])
+            for k, ids in enumerate(found):
+                if ids is None:
+                    w = words[k]
+                    if (ids := cache.get(w)) is None:
+                        ids = cache[w] = self._whole(w) if not plain and self.slow(w) else self._fast(w.lower())
+                    found[k] = ids
+        return b"".join(found)
+
+    def _plain(self, text: str) -> bool:
+        """Whether self.slow finds nothing in the text: no lead byte of a code point from 768 on, no special token, no odd character."""
+        if not text.isascii():
+            raw = text.encode()
+            if len(raw.translate(None, _HIGH)) < len(raw):
+                return False
+        return "<|" not in text and not any(c in text for c in self.odd)
 
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in ODD_SPACES):
             return self._whole(text)
-        plain = not self.slow(text)
+        plain = self._plain(text)
         if len(text) <= CHUNK_CHARS:
             return self._words(text, plain)
         out, at = [], 0
