@@ -102,6 +102,24 @@ def fft_band(image: np.ndarray, window: int, stride: int, low: float, high: floa
     return np.interp(np.arange(h), centres, score)
 
 
+def clahe(image: np.ndarray, limit: float = 2.0, tiles: int = 8) -> np.ndarray:
+    """Contrast-limited histogram equalisation: each tile's clipped distribution, blended between tile centres."""
+    h, w = image.shape
+    th, tw = -(-h // tiles), -(-w // tiles)
+    padded = np.pad(image, ((0, th * tiles - h), (0, tw * tiles - w)), mode="symmetric")
+    grid = padded.reshape(tiles, th, tiles, tw).swapaxes(1, 2).reshape(tiles * tiles, -1)
+    counts = np.stack([np.bincount(t, minlength=256) for t in grid]).astype(float)
+    most = max(1.0, limit * th * tw / 256)
+    spare = np.maximum(counts - most, 0).sum(1, keepdims=True)
+    curve = (np.cumsum(np.minimum(counts, most) + spare / 256, 1) * 255 / (th * tw)).reshape(tiles, tiles, 256)
+    place = lambda n, size: np.clip((np.arange(n) + 0.5) / size - 0.5, 0, tiles - 1)
+    fy, fx = place(h, th)[:, None], place(w, tw)[None]
+    y0, x0 = np.minimum(fy.astype(int), tiles - 2), np.minimum(fx.astype(int), tiles - 2)
+    ay, ax = fy - y0, fx - x0
+    at = lambda dy, dx: curve[y0 + dy, x0 + dx, image]
+    return (1 - ay) * ((1 - ax) * at(0, 0) + ax * at(0, 1)) + ay * ((1 - ax) * at(1, 0) + ax * at(1, 1))
+
+
 def normalise(values: np.ndarray) -> np.ndarray:
     lo, hi = float(values.min()), float(values.max())
     if hi - lo <= max(1e-6, max(abs(lo), abs(hi)) * 1e-6):
@@ -114,6 +132,15 @@ def robust_unit(values: np.ndarray, low: float = 1, high: float = 99) -> np.ndar
     return np.clip((values - a) / (b - a), 0, 1) if b > a else np.zeros(values.shape)
 
 
+def range_means(values: np.ndarray, start, stop, empty: float = 0.0) -> np.ndarray:
+    """Means of values[start:stop] along the last axis, ranges cut at the ends; `empty` where nothing is left."""
+    n = values.shape[-1]
+    a, b = np.clip(start, 0, n).astype(int), np.clip(stop, 0, n).astype(int)
+    sums = np.concatenate([np.zeros((*values.shape[:-1], 1)), np.cumsum(values, -1, dtype=np.float64)], -1)
+    size = b - a
+    return np.where(size > 0, (sums[..., b] - sums[..., a]) / np.maximum(size, 1), empty)
+
+
 def otsu(image: np.ndarray) -> int:
     """The least level of greatest between-class variance; above it is foreground."""
     n = np.bincount(image.ravel().astype(np.int64), minlength=256).astype(float)

@@ -71,3 +71,31 @@ def limit_groups(rows: DataFrame, group: str, n: int) -> DataFrame:
     """All rows of the first n groups by key: the keys are limited, not the rows."""
     first = rows.select(group).distinct().orderBy(group).limit(n)
     return rows.join(F.broadcast(first), group)
+
+
+def dataset_name(folder: Column) -> Column:
+    """`20261010_case16_(0)raw` -> `20261010_case16`: what stands before `_(0)`, without trailing underscores; the whole name where nothing is left."""
+    name = F.regexp_replace(F.substring_index(folder, "_(0)", 1), "_+$", "")
+    return F.when(name != "", name).otherwise(folder)
+
+
+def first_existing(files: DataFrame, folder: str, name: str, preferred: list[str]) -> DataFrame:
+    """Each folder's file that comes first in the list of preferred names."""
+    rank = F.array_position(F.array(*map(F.lit, preferred)), F.col(name))
+    return files.where(rank > 0).groupBy(folder).agg(F.min_by(name, rank).alias(name))
+
+
+def evenly_spaced(rows: DataFrame, scene: list[str], reference: Column, order: list[Column], n: int) -> DataFrame:
+    """Of each scene the reference and n - 1 others at even distances in order, first and last included; all where there are no more than n."""
+    w = Window.partitionBy(*scene, "_ref")
+    x = rows.withColumn("_ref", reference).withColumns({"_k": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(w), "_all": F.count(F.lit(1)).over(Window.partitionBy(*scene))})
+    steps = F.sequence(F.lit(0), F.lit(max(n - 2, 0)))
+    # place i of n - 1 is floor(i * (others - 1) / (n - 2)); one alone is the first
+    wanted = F.transform(steps, lambda i: F.floor(i * (F.col("_n") - 1) / F.lit(max(n - 2, 1)))) if n > 1 else F.array().cast("array<bigint>")
+    keep = F.col("_ref") | (F.col("_all") <= n) | F.array_contains(wanted, F.col("_k").cast("long"))
+    return x.where(keep).drop("_ref", "_k", "_n", "_all")
+
+
+def exposure_order() -> list[Column]:
+    """By exposure as a number, then by path."""
+    return [F.asc("exposure_us"), F.asc("rel_path")]

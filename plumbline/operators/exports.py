@@ -15,3 +15,13 @@ def batches(rows: DataFrame, keys: list[str], order: str, size: int) -> DataFram
 
 def vector_energy(vector: Column) -> Column:
     return F.aggregate(F.transform(vector.cast("array<double>"), lambda x: x * x), F.lit(0.0), lambda a, x: a + x)
+
+
+def ranked(rows: DataFrame, order: str) -> DataFrame:
+    """rank: places from 0 in order of a column, found range by range: each range counts its own rows, and what comes before is a sum of counts."""
+    parts = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id())
+    # an id is the partition in the upper bits and the row's place in it below
+    parts = parts.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id").persist()
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
+    return parts.join(F.broadcast(before), "_part").select(*rows.columns, (F.coalesce("_before", F.lit(0)) + F.col("_at")).alias("rank"))

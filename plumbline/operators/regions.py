@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..functions import codec, filters, lines
+from ..functions import bands, codec, filters, lines
+from . import exports
 
 DETECTED = (
     "rel_path string, mode string, status string, reason string, found boolean, needs_review boolean, input_height int, input_width int, channels int, dtype string, "
@@ -22,6 +23,15 @@ DETECTED = (
 )
 
 
+RECOVERY_CHOICES = 12  # of a strip
+_SIDE = "{0}_slope double, {0}_intercept double, {0}_valid boolean, {0}_rmse double, {0}_median_residual double, {0}_inlier_ratio double, {0}_x_coverage double, {0}_max_gap_ratio double, {0}_least_third int"
+BANDS = (
+    "rel_path string, input_height int, input_width int, method string, roi_detected boolean, was_recovered boolean, recovery_method string, "
+    "part_boundary double, part_line double, part_coverage double, part_geometry double, ends array<double>, candidate_counts array<int>, "
+    f"{_SIDE.format('top')}, {_SIDE.format('bottom')}, beyond array<struct<side:string,x:double,out:double,inside:double>>"
+)
+
+
 def _rows(schema: str, work):
     """A batch function that maps each row (a dict) to any number of rows of the schema."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
@@ -55,7 +65,7 @@ def detect_image(image: np.ndarray, mode: str, c: lines.Config) -> dict:
         if x1 > x0 and h >= 5:
             score = filters.along(_scores(g, mode, x0, x1, bank)[:, None], filters.gaussian_kernel(min(c.smooth, h - 1 + h % 2) | 1), 0, "symmetric")[:, 0]
             columns.append(((x0 + x1 - 1) / 2, lines.pair_candidates(score, bright[:, x0:x1].mean(axis=1), c)))
-    path = lines.best_path(columns, h, c)
+    path = lines.best_path(columns, h, c, anchored=True)
     out = {"status": "no_roi", "reason": "no_candidates", "found": False, "selected_pair_count": len(path), "pair_score_mean": float(np.mean([p["score"] for _, p in path])) if path else None}
     if not path:
         return out
@@ -69,10 +79,10 @@ def detect_image(image: np.ndarray, mode: str, c: lines.Config) -> dict:
             radius = max(2.0, 0.10 * h)
             found = []
             for x, cand in columns:
-                near = [(p["score"] - 0.15 * abs(p[k] - known.at(x) - offset) / radius, p[k]) for p in cand if abs(p[k] - known.at(x) - offset) <= radius]
-                if near:
-                    found.append((x, max(near)[1]))
-            again = lines.fit_with_retries(np.array(found, float).reshape(-1, 2), w, c)
+                near = {p[k]: p["score"] - 0.15 * abs(p[k] - known.at(x) - offset) / radius for p in sorted(cand, key=lambda p: p["score"]) if abs(p[k] - known.at(x) - offset) <= radius}
+                best = sorted(near.items(), key=lambda q: (-q[1], q[0]))[:RECOVERY_CHOICES]
+                found.append((x, [{"y0": y, "y1": y, "score": v} for y, v in best]))
+            again = lines.fit_with_retries(np.array([(x, p["y0"]) for x, p in lines.best_path(found, h, c)], float).reshape(-1, 2), w, c)
             if again.valid:
                 recovered = True
                 top, bottom = (top, again) if name == "bottom" else (again, bottom)
@@ -100,8 +110,37 @@ def detect(images: DataFrame, modes: list[str], config: lines.Config | None = No
     return images.select("rel_path", "content").mapInArrow(_rows(DETECTED, work), DETECTED)
 
 
-def crop(targets: DataFrame, margin: int = 0) -> DataFrame:
-    """targets: rel_path, content, mode, found, lines and size of the reference -> rel_path, mode, status, image (PNG, black outside the region; alpha kept opaque)."""
+def detect_bands(images: DataFrame, config: dict) -> DataFrame:
+    """images: rel_path, content -> a row for each candidate of the boundary mode; one without a method where there is none, without a size where the image can't be read."""
+
+    def work(row: dict) -> Iterator[dict]:
+        image = codec.decode(row["content"])
+        base = {"rel_path": row["rel_path"], "roi_detected": False, "was_recovered": False}
+        if image is None:
+            yield base
+            return
+        base |= {"input_height": image.shape[0], "input_width": image.shape[1]}
+        e = bands.measure(image, config)
+        found = bands.candidates(e, config)
+        for c in found:
+            out = base | {k: c[k] for k in ("method", "roi_detected", "recovery_method", "candidate_counts")} | {f"part_{k}": v for k, v in c["parts"].items()}
+            out |= {"was_recovered": bool(c["recovery_method"]), "ends": c["ends"].tolist(), "beyond": []}
+            for s, (side, f) in enumerate(zip(bands.SIDE_NAMES, c["lines"], strict=True)):
+                out |= {f"{side}_{k}": v for k, v in (("slope", f.slope), ("intercept", f.intercept), ("valid", f.valid), ("rmse", f.rmse), ("median_residual", f.median_residual), ("inlier_ratio", f.inlier_ratio), ("x_coverage", f.span_ratio), ("max_gap_ratio", f.max_gap_ratio), ("least_third", min(f.thirds)))}
+                out["beyond"] += [{"side": side, "x": x, "out": o, "inside": i} for x, o, i in bands.beyond(e, f, s, config)]
+            yield out
+        if not found:
+            yield base
+
+    return images.select("rel_path", "content").mapInArrow(_rows(BANDS, work), BANDS)
+
+
+def crop(targets: DataFrame, margin: int = 0, rounding: tuple[int, int] | None = None) -> DataFrame:
+    """targets: rel_path, content, mode, found, lines and size of the reference -> rel_path, mode, status, image (PNG, black outside the region; alpha kept opaque).
+
+    rounding: margins above and below a region whose last row counts and whose rows are the nearest ones (the boundary mode); else rows
+    are rounded outwards, and the last one doesn't count.
+    """
 
     schema = "rel_path string, mode string, status string, image binary"
 
@@ -119,7 +158,7 @@ def crop(targets: DataFrame, margin: int = 0) -> DataFrame:
             yield out | {"status": "no_roi"}
             return
         top, bottom = (lines.Line(slope=r[f"{s}_slope"], intercept=r[f"{s}_intercept"]) for s in ("top", "bottom"))
-        first, after = lines.rasterise(top, bottom, (h, w), margin)
+        first, after = lines.rasterise(top, bottom, (h, w), margin) if rounding is None else lines.rasterise_nearest(top, bottom, (h, w), *rounding)
         y = np.arange(h)[:, None]
         keep = (y >= first) & (y < after)
         image = np.where(keep if image.ndim == 2 else keep[:, :, None], image, 0).astype(image.dtype)
@@ -166,8 +205,5 @@ def brush_tasks(masks_: DataFrame, class_name: str, per_file: int = 10) -> DataF
     )
     task = F.struct(F.struct(F.col("rel_path").alias("image")).alias("data"), F.array(F.struct(F.array(result).alias("result"))).alias("annotations"))
     rows = masks_.where("mask IS NOT NULL").withColumn("_s", shape("mask"))
-    # a dataset's tasks are numbered in order of path: ranks of a hash-partitioned table would scatter them
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.orderBy("rel_path")) - 1
-    return rows.select("rel_path", F.to_json(task).alias("task")).withColumn("batch", F.floor(n / per_file).cast("long"))
+    numbered = exports.ranked(masks_.where("mask IS NOT NULL").select("rel_path").distinct(), "rel_path")
+    return rows.select("rel_path", F.to_json(task).alias("task")).join(numbered, "rel_path").select("rel_path", "task", F.floor(F.col("rank") / per_file).cast("long").alias("batch"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lines
 from ..operators import catalog, reference, regions
 from ..sources import images
+from ..sources.tables import kept, small
 
 
 @dataclass(frozen=True)
@@ -35,12 +36,14 @@ def run(spark: SparkSession, root: str, options: Options | None = None) -> Resul
     meta = files.select("rel_path", "scene", F.lower("camera").alias("camera"), F.lower("name").alias("name"), F.lower("exposure").alias("exposure"))
     meta = meta.withColumn("scene", F.regexp_replace("scene", "/[^/]*us$", ""))
     assigned = reference.assign_references(meta, ["scene", "camera"], "name", "exposure", o.reference_exposure.lower(), "rel_path")
+    assigned = kept(assigned)
     jobs = assigned.where("ref_id IS NOT NULL")
-    content = files.select("rel_path", "content")
-    refs = content.join(jobs.select(F.col("ref_id").alias("rel_path")).distinct(), "rel_path", "left_semi")
-    found = regions.detect(refs, list(o.modes), o.lines)
+    content = files.select("rel_path", "content")  # joined to narrow rows, whose side moves where it is small
+    refs = content.join(small(kept(jobs.select(F.col("ref_id").alias("rel_path")).distinct())), "rel_path", "left_semi")
+    found = kept(regions.detect(refs, list(o.modes), o.lines))
     targets = jobs.select("rel_path", "ref_id").join(found.withColumnRenamed("rel_path", "ref_id"), "ref_id")
-    crops = regions.crop(content.join(targets.select("rel_path", "mode", "found", "input_height", "input_width", *(f"{s}_{k}" for s in ("top", "bottom") for k in ("slope", "intercept"))), "rel_path"), o.margin)
+    crops = regions.crop(content.join(small(targets.select("rel_path", "mode", "found", "input_height", "input_width", *(f"{s}_{k}" for s in ("top", "bottom") for k in ("slope", "intercept")))), "rel_path"), o.margin)
+    crops = kept(crops)
     done = targets.join(crops.select("rel_path", "mode", F.col("status").alias("output")), ["rel_path", "mode"])
     bad = F.col("output").isin("unreadable_target", "reference_size_mismatch")
     done = done.withColumns(

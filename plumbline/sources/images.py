@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +20,31 @@ def escape_glob(path: str) -> str:
 def scan(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
     """rel_path, length, modification_time, content and identity; content is read only where a plan uses it.
 
-    Names and folders that start with _ or . below the root, and files of no bytes, are left out by the file source.
+    Files of no bytes, which the file source passes over, come from its listing with empty content. Names and folders that
+    start with _ or . below the root are left out by the file source.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(escape_glob(root))
+    one = lambda p: F.regexp_replace(p, "^([a-z0-9]+):/+", "$1:/")  # noqa: E731  the listing writes file:///, the rows file:/
+    listed = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string").withColumn("path", one("path"))
+    blank = listed.join(files.select(one("path").alias("path")), "path", "left_anti")
+    blank = blank.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
     base = root.rstrip("/").split("://")[-1].replace("file:", "")
     rel = F.regexp_replace(F.col("path"), f"^.*?{re.escape(base)}/", "")
-    rows = files.select(F.expr("path"), F.col("length"), F.col("modificationTime").alias("modification_time"), "content").withColumn("rel_path", rel)
+    rows = files.unionByName(blank).select("path", "length", F.col("modificationTime").alias("modification_time"), "content").withColumn("rel_path", rel)
     rows = catalog.with_identity(rows)
     return rows.where(F.col("ext").isin(extensions)) if extensions else rows
 
 
+def check_paths(source: str, output: str) -> tuple[str, str]:
+    """Both paths resolved: the source is a folder, and the output is neither it nor inside it."""
+    a, b = (os.path.realpath(p.removeprefix("file://")) for p in (source, output))
+    if not os.path.isdir(a):
+        raise NotADirectoryError(f"no source folder: {a}")
+    if os.path.commonpath([a, b]) == a:
+        raise ValueError("the output must lie outside the source folder")
+    return a, b
+
+
 def write_report(rows: DataFrame, path: str) -> None:
     """CSV with a header; booleans as 1 and 0, nested values as JSON, blanks for what wasn't measured; never over an existing one."""
     columns = [F.col(f.name).cast("int").alias(f.name) if f.dataType.simpleString() == "boolean" else F.to_json(f.name).alias(f.name) if f.dataType.simpleString().startswith(("array", "struct", "map")) else F.col(f.name) for f in rows.schema]
@@ -36,8 +53,6 @@ def write_report(rows: DataFrame, path: str) -> None:
 
 def write_files(rows: DataFrame, root: str, path: str, content: str) -> DataFrame:
     """Writes each row's bytes to root/path, parents included; root is a folder that all executors share. The written paths come back."""
-    import os
-
     def run(batches):
         for b in batches:
             for p, data in zip(b[path], b[content], strict=True):
