@@ -36,6 +36,13 @@ class Lattice:
             path.append(int(np.argmin(ways)))
         return path[::-1]
 
+    def cost(self, path: list[int]) -> float:
+        """What a path pays, less what it is paid."""
+        n = len(path)
+        total = -sum(float(r[k]) for r, k in zip(self.reward, path, strict=True))
+        total += sum(float(self.edge(k, k + 1)[path[k], path[k + 1]]) for k in range(n - 1))
+        return total + sum(float(self.bend(k, k + 1, k + 2)[path[k], path[k + 1], path[k + 2]]) for k in range(n - 2))
+
     def best(self) -> list[int]:
         layers = list(range(len(self.reward)))
         if len(layers) < 2:

@@ -90,3 +90,10 @@ def median_fuse(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 def prefix_means(rows: DataFrame, keys: list[str], order: str, value: str, before: int, after: int) -> Column:
     """Mean of the rows [-before, after] around each, by the engine's moving frame."""
     return F.avg(value).over(along(keys, order).rowsBetween(-before, after))
+
+
+def positive_unit(rows: DataFrame, keys: list[str], value: str, out: str = "unit") -> DataFrame:
+    """Values by the 99th percentile of their size in their group, cut to 0..1."""
+    top = rows.groupBy(*keys).agg(F.percentile(F.abs(F.col(value)), F.lit(0.99)).alias("_top"))
+    x = F.col(value) / F.greatest(F.col("_top"), F.lit(1e-8))
+    return rows.join(top, keys).withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))).drop("_top")

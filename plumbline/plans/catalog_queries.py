@@ -29,12 +29,12 @@ _REL = "regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '')"
 WITH r AS (SELECT page_id, {_REL} AS rel, string_split({_REL}, '/') AS p FROM pages)
 SELECT page_id, rel, p[-1] AS name, regexp_extract(p[1], '^([^.]*)', 1) AS host_case, lower(string_split(p[1], '-')[1]) AS case_key,
        CASE WHEN len(p) > 2 THEN array_to_string(p[1:len(p) - 2], '/') ELSE '' END AS scene,
-       string_split(p[-1], '_')[1] AS camera, rel || '.txt' AS label_path
-FROM r WHERE NOT regexp_matches(p[-1], '\\.')"""
+       string_split(regexp_replace(p[-1], '^(.+)\\.[^.]*$', '\\1'), '_')[1] AS camera, regexp_replace(rel, '([^/])\\.[^./]*$', '\\1') || '.txt' AS label_path
+FROM r"""
 )
 def scan_identity(spark, sf):
     rows = table(spark, sf, "pages").select("page_id", F.regexp_replace(F.regexp_replace("url", "^[a-z]+://", ""), "[?#].*$", "").alias("rel"))
-    rows = catalog.with_identity(rows, "rel").where(~F.col("name").contains("."))
+    rows = catalog.with_identity(rows, "rel")
     return rows.select("page_id", "rel", "name", F.regexp_extract(F.split("rel", "/")[0], "^([^.]*)", 1).alias("host_case"), "case_key", "scene", "camera", "label_path")
 
 

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ..functions import codec, masks
+from ..functions import codec, lattice, masks
 from ..operators import candidates
 from ..sources.tables import table
 
@@ -30,56 +31,69 @@ def _pixels(v) -> np.ndarray:
     return np.clip(np.floor((np.asarray(v, np.float64) + 1.0) * 127.5), 0, 255).astype(np.uint8).reshape(8, -1)
 
 
-@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: greatest(0, least(255, floor((CAST(x AS DOUBLE) + 1) * 127.5))))) AS BIGINT) AS pixel_sum FROM embeddings")
+def _placed(image: np.ndarray) -> int:
+    return int((image.ravel().astype(np.int64) * np.arange(1, image.size + 1)).sum())
+
+
+@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x, i: i * greatest(0, least(255, floor((CAST(x AS DOUBLE) + 1) * 127.5))))) AS BIGINT) AS placed_sum FROM embeddings")
 def image_roundtrip(spark, sf):
-    """Encoded as PNG and decoded again."""
+    """Encoded as PNG and decoded again; pixels weigh their places, so that swapped ones tell."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"vec_id": b.vec_id, "pixel_sum": [int(codec.decode(codec.encode_png(_pixels(v))).sum()) for v in b.embedding]})
+            yield pd.DataFrame({"vec_id": b.vec_id, "placed_sum": [_placed(codec.decode(codec.encode_png(_pixels(v)))) for v in b.embedding]})
 
-    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, pixel_sum long")
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, placed_sum long")
 
 
-@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CASE WHEN x >= 0 THEN 1 ELSE 0 END)) AS BIGINT) AS ones FROM embeddings")
+@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x, i: CASE WHEN x >= 0 THEN i ELSE 0 END)) AS BIGINT) AS placed_sum FROM embeddings")
 def rle_bytes(spark, sf):
     """Masks through the run-length format and back."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [np.where(np.asarray(v).reshape(8, -1) >= 0, 255, 0).astype(np.uint8) for v in b.embedding]
-            yield pd.DataFrame({"vec_id": b.vec_id, "ones": [int((masks.rle_decode(masks.rle_encode(m), m.shape) > 0).sum()) for m in found]})
+            yield pd.DataFrame({"vec_id": b.vec_id, "placed_sum": [_placed(masks.rle_decode(masks.rle_encode(m), m.shape) > 0) for m in found]})
 
-    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, ones long")
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, placed_sum long")
 
 
 @query(
     """
-WITH r AS (SELECT user_id, event_type, event_id, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS k FROM events),
-c AS (SELECT * FROM r WHERE k <= 3),
-p AS (SELECT a.user_id, -(a.value + b.value + c.value + d.value + e.value) / 100
-        + (abs(a.event_id - b.event_id) + abs(b.event_id - c.event_id) + abs(c.event_id - d.event_id) + abs(d.event_id - e.event_id)) / 10000.0 AS cost
-  FROM c a JOIN c b ON b.user_id = a.user_id AND b.event_type = 'error' JOIN c c ON c.user_id = a.user_id AND c.event_type = 'purchase'
-  JOIN c d ON d.user_id = a.user_id AND d.event_type = 'signup' JOIN c e ON e.user_id = a.user_id AND e.event_type = 'view' WHERE a.event_type = 'click')
-SELECT user_id, round(min(cost), 6) AS cost FROM p GROUP BY 1"""
+WITH RECURSIVE r AS (SELECT user_id, event_type, event_id, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS k FROM events),
+c AS (SELECT user_id, dense_rank() OVER (PARTITION BY user_id ORDER BY event_type) AS n, list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS s,
+        event_id % 40 AS y0, event_id % 40 + 20 + event_id % 7 AS y1, value / 100.0 AS score FROM r WHERE k <= 3),
+w AS (SELECT user_id, n, s, y0, y1, CAST(NULL AS DOUBLE) AS a0, CAST(NULL AS DOUBLE) AS a1, CAST(-score AS DOUBLE) AS cost FROM c WHERE n = 1
+  UNION ALL
+  SELECT c.user_id, c.n, c.s, c.y0, c.y1, (c.y0 - w.y0) / (10.0 * (c.s - w.s)), (c.y1 - w.y1) / (10.0 * (c.s - w.s)),
+    w.cost - c.score + (abs(c.y0 - w.y0) + abs(c.y1 - w.y1) + 0.5 * abs((c.y1 - w.y1) - (c.y0 - w.y0))) / (100.0 * greatest(1, c.s - w.s))
+      + coalesce(12.0 * 10 / 100 * (abs((c.y0 - w.y0) / (10.0 * (c.s - w.s)) - w.a0) + abs((c.y1 - w.y1) / (10.0 * (c.s - w.s)) - w.a1)), 0)
+  FROM w JOIN c ON c.user_id = w.user_id AND c.n = w.n + 1)
+SELECT user_id, CAST(max(n) AS BIGINT) AS strips, round(min_by(cost, struct_pack(a := -n, b := cost)), 6) AS cost FROM w GROUP BY 1"""
 )
 def viterbi_path(spark, sf):
-    """The cheapest choice of one candidate per strip: at most three of each strip, kept by a top-k before the group meets."""
+    """The engine's own path over strips (event types, those that a user has) with at most three pairs of rows each: its cost, curvature included."""
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     c = candidates.top(e, ["user_id", "event_type"], [F.desc("value"), F.asc("event_id")], 3)
+    pair = F.struct("event_type", (F.col("event_id") % 40).cast("double").alias("y0"), (F.col("event_id") % 40 + 20 + F.col("event_id") % 7).cast("double").alias("y1"), (F.col("value") / 100).alias("score"))
+    groups = c.groupBy("user_id").agg(F.collect_list(pair).alias("pairs"))  # at most three of a strip
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            strips, cost = [], []
+            for found in b.column("pairs").to_pylist():
+                held = [(k, [p for p in found if p["event_type"] == t]) for k, t in enumerate(_STRIPS)]
+                held = [(k, p) for k, p in held if p]
+                rows = [np.array([[q["y0"], q["y1"]] for q in p]) for _, p in held]
+                net = lattice.boundaries(np.array([10.0 * k for k, _ in held]), rows, [np.array([q["score"] for q in p]) for _, p in held], 100, 10.0, 1.0, 12.0)
+                strips.append(len(held))
+                cost.append(round(net.cost(net.through(len(held) // 2)), 6))
+            yield pa.RecordBatch.from_arrays([b.column("user_id"), pa.array(strips, pa.int64()), pa.array(cost, pa.float64())], names=["user_id", "strips", "cost"])
+
+    return groups.mapInArrow(run, "user_id long, strips long, cost double")
+
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cost, at = None, None
-        strips = [g for _, g in pdf.sort_values(["event_type", "rank"]).groupby("event_type")]
-        if len(strips) < 5:
-            return pd.DataFrame({"user_id": [], "cost": []})
-        for g in strips:
-            own, x = -g.value.to_numpy() / 100, g.event_id.to_numpy().astype(float)
-            cost = own if cost is None else own + (cost[:, None] + np.abs(at[:, None] - x[None]) / 10000).min(axis=0)
-            at = x
-        return pd.DataFrame({"user_id": [pdf.user_id.iloc[0]], "cost": [round(float(cost.min()), 6)]})
-
-    return c.groupBy("user_id").applyInPandas(run, "user_id long, cost double")
+_STRIPS = ("click", "error", "purchase", "signup", "view")
 
 
 @query()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog_queries, image_queries, profile_queries
+from . import boundary_queries, catalog_queries, image_queries, profile_queries
 
-_MODULES = (catalog_queries, profile_queries, image_queries)
+_MODULES = (catalog_queries, profile_queries, image_queries, boundary_queries)
 
 
 def queries() -> dict:
