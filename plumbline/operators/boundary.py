@@ -41,6 +41,13 @@ def pair_quality(rows: DataFrame, height: Column, width: Column) -> DataFrame:
     )
 
 
+def support_overlap(rows: DataFrame, keys: list[str], side: Column, x: str) -> DataFrame:
+    """Supporting positions that both sides (true and false of `side`) share, those of either, and their ratio; keys with one side alone are left out."""
+    s = rows.groupBy(*keys).agg(F.collect_set(F.when(side, F.col(x))).alias("_a"), F.collect_set(F.when(~side, F.col(x))).alias("_b")).where((F.size("_a") > 0) & (F.size("_b") > 0))
+    common, either = F.size(F.array_intersect("_a", "_b")).cast("long"), F.size(F.array_union("_a", "_b")).cast("long")
+    return s.select(*keys, common.alias("common"), either.alias("either"), (common / either).alias("pair_inlier_ratio"))
+
+
 def pair_reason(height: Column, width: Column, max_tilt: float, min_height: float, max_height: float, max_change: float, min_support: float) -> Column:
     """The first veto of a fitted pair, or null. Columns: top_valid, bottom_valid, the lines, pair_inlier_ratio."""
     ends = [(at("top", x), at("bottom", x)) for x in (F.lit(0.0), width - 1)]

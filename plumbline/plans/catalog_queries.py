@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import catalog, fits, reference
+from ..operators import boundary, catalog, evaluate, fits, reference
+from ..sources import truth
 from ..sources.tables import table
 
 QUERIES: dict = {}
@@ -88,30 +89,57 @@ def geometry_reuse(spark, sf):
     return reference.reuse_geometry(o, li, "orderkey", F.col("parent"), F.col("child")).select("orderkey", "linenumber", "parent", "child", "status")
 
 
-@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, l.doc_id IS NOT NULL AS overridden FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query(
+    """
+WITH d AS (SELECT doc_id, doc_id % 5 <> 0 AS found, doc_id % 3 = 0 AS review, (doc_id % 11) / 10.0 AS slope FROM documents)
+SELECT doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'manual' WHEN found THEN 'fitted' ELSE 'no_roi' END AS status, found OR l.doc_id IS NOT NULL AS found, review AND l.doc_id IS NULL AS needs_review,
+  CASE WHEN l.doc_id IS NOT NULL THEN CAST(quality AS DOUBLE) WHEN found THEN CAST(slope AS DOUBLE) END AS top_slope FROM d LEFT JOIN labels l USING (doc_id)"""
+)
 def override_coalesce(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id")
-    over = table(spark, sf, "labels").select("doc_id", "quality", F.lit(True).alias("overridden"))
-    return d.join(over, "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("overridden", F.lit(False)).alias("overridden"))
+    """Detected rows under manual ones: documents as images, labels as overrides."""
+    i, found = F.col("doc_id"), F.col("doc_id") % 5 != 0
+    lines = lambda v: [v.cast("double").alias(f"{s}_{k}") for s in ("top", "bottom") for k in ("slope", "intercept")]
+    d = table(spark, sf, "documents").select(
+        i.cast("string").alias("rel_path"), F.lit("std").alias("mode"), F.when(found, "fitted").otherwise("no_roi").alias("status"), found.alias("found"), (i % 3 == 0).alias("needs_review"), F.lit(100).alias("input_height"),
+        F.lit(50).alias("input_width"), *lines(F.when(found, (i % 11) / 10.0)),
+    )
+    o = table(spark, sf, "labels").select(i.cast("string").alias("rel_path"), F.lit("std").alias("mode"), F.lit(100).alias("height"), F.lit(50).alias("width"), *lines(F.col("quality")))
+    return truth.apply_overrides(d, o).select(F.col("rel_path").cast("long").alias("doc_id"), "status", "found", "needs_review", "top_slope")
 
 
 @query(
     """
-WITH x AS (SELECT s.split, d.doc_id, d.n_chars, l.quality,
-       CASE WHEN l.doc_id IS NULL THEN 'unavailable' WHEN l.quality = 0 THEN 'no_localized_roi' ELSE 'evaluated' END AS status, l.toxic
-  FROM (VALUES ('tune'), ('validation')) s(split) LEFT JOIN documents d ON s.split = CASE WHEN d.doc_id % 4 = 0 THEN 'validation' ELSE 'tune' END LEFT JOIN labels l ON l.doc_id = d.doc_id)
-SELECT split, count(doc_id) AS scenes, count(*) FILTER (status = 'evaluated') AS evaluated, count(*) FILTER (status = 'evaluated' AND toxic = 0) AS passes,
-       round(count(*) FILTER (status = 'evaluated' AND toxic = 0) / nullif(count(doc_id), 0), 6) AS pass_rate, round(avg(CASE WHEN status = 'evaluated' THEN n_chars END), 6) AS mean_chars
-FROM x GROUP BY split"""
+WITH x AS (SELECT s.split, d.doc_id, l.quality = 0 AS evaluated, l.toxic = 0 AS passed, d.n_chars
+  FROM (VALUES ('tune'), ('validation')) s(split) LEFT JOIN documents d ON d.source <> 'none' AND s.split = CASE WHEN d.doc_id % 4 = 0 THEN 'validation' ELSE 'tune' END LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT split, count(doc_id) AS approved_gt_scenes, count(*) FILTER (evaluated) AS geometry_evaluated, count(*) FILTER (passed) AS automatic_pass_count, count(*) FILTER (passed AND NOT coalesce(evaluated, FALSE)) AS false_pass_count,
+  round(count(*) FILTER (passed) / nullif(count(doc_id), 0), 6) AS scene_pass_rate, round(count(*) FILTER (passed AND NOT coalesce(evaluated, FALSE)) / nullif(count(*) FILTER (passed), 0), 6) AS false_pass_rate,
+  round(avg(CASE WHEN evaluated THEN n_chars END), 6) AS mean_top_mae_px FROM x GROUP BY split"""
 )
 def gt_left_eval(spark, sf):
-    splits = spark.createDataFrame([("tune",), ("validation",)], "split string")
-    d = table(spark, sf, "documents").select("doc_id", "n_chars", F.when(F.col("doc_id") % 4 == 0, "validation").otherwise("tune").alias("split"))
-    x = d.join(table(spark, sf, "labels").withColumn("known", F.lit(True)), "doc_id", "left")
-    done = F.col("known") & (F.col("quality") != 0)
-    x = x.groupBy("split").agg(F.count("doc_id").alias("scenes"), F.count_if(done).alias("evaluated"), F.count_if(done & (F.col("toxic") == 0)).alias("passes"), F.round(F.avg(F.when(done, F.col("n_chars"))), 6).alias("mean_chars"))
-    x = F.broadcast(splits).join(x, "split", "left").na.fill(0, ["scenes", "evaluated", "passes"])
-    return x.withColumn("pass_rate", F.round(F.try_divide(F.col("passes"), F.expr("nullif(scenes, 0)")), 6))
+    """The evaluation's summary by split: every ground truth counts, known to the report or not."""
+    d = table(spark, sf, "documents").where("source <> 'none'").select("doc_id", F.col("n_chars").cast("double").alias("n"), F.when(F.col("doc_id") % 4 == 0, "validation").otherwise("tune").alias("split"))
+    x = d.join(table(spark, sf, "labels"), "doc_id", "left")
+    done, passed = F.coalesce(F.col("quality") == 0, F.lit(False)), F.coalesce(F.col("toxic") == 0, F.lit(False))
+    x = x.select("split", done.alias("geometry_evaluated"), passed.alias("auto_pass"), (passed & ~done).alias("false_pass"), *(F.col("n").alias(m) for m in evaluate.METRICS))
+    out = evaluate.summary(x)
+    return out.select("split", "approved_gt_scenes", "geometry_evaluated", "automatic_pass_count", "false_pass_count", *(F.round(c, 6).alias(c) for c in ("scene_pass_rate", "false_pass_rate", "mean_top_mae_px")))
+
+
+@query(
+    """
+SELECT CAST(doc_id AS VARCHAR) AS rel_path, mode, round((doc_id % 30 - doc_id % 20) / 99.0, 9) AS top_slope, CAST(doc_id % 20 AS DOUBLE) AS top_intercept, CAST(60 + doc_id % 7 AS DOUBLE) AS bottom_intercept
+FROM labels, (VALUES ('std'), ('fft')) m(mode) WHERE quality = 1"""
+)
+def truth_overrides(spark, sf):
+    """Approved ground truth as overrides of two modes."""
+    i = F.col("doc_id")
+    line = lambda a, b: F.array(F.array(F.lit(0.0), a.cast("double")), F.array(F.lit(99.0), b.cast("double")))
+    t = table(spark, sf, "labels").select(
+        i.cast("string").alias("source"), F.lit("tune").alias("split"), F.when(F.col("quality") == 1, "approved").otherwise("pending").alias("status"), F.lit(100).alias("height"), F.lit(100).alias("width"),
+        line(i % 20, i % 30).alias("top"), line(60 + i % 7, 60 + i % 7).alias("bottom"),
+    )
+    out = truth.overrides_from_truth(truth.checked(t), ["std", "fft"])
+    return out.select("rel_path", "mode", F.round("top_slope", 9).alias("top_slope"), "top_intercept", "bottom_intercept")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -230,9 +258,8 @@ FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND a.l_returnflag = 'N' AND b.
 )
 def support_overlap(spark, sf):
     """Supporting positions of both sides: shared and in all."""
-    s = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.when(F.col("l_returnflag") == "N", F.col("l_suppkey"))).alias("a"), F.collect_set(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))).alias("b"))
-    s = s.where((F.size("a") > 0) & (F.size("b") > 0))
-    return s.select("l_orderkey", F.size(F.array_intersect("a", "b")).cast("long").alias("common"), F.size(F.array_union("a", "b")).cast("long").alias("either"))
+    li = table(spark, sf, "lineitem").where("l_returnflag IN ('N', 'R')")
+    return boundary.support_overlap(li, ["l_orderkey"], F.col("l_returnflag") == "N", "l_suppkey").select("l_orderkey", "common", "either")
 
 
 @query(

@@ -68,3 +68,13 @@ def apply_overrides(found: DataFrame, overrides: DataFrame) -> DataFrame:
     wrong = given & ((F.col("_h") != F.col("input_height")) | (F.col("_w") != F.col("input_width")))
     status = F.when(wrong, F.raise_error(F.concat(F.lit("override of another shape: "), F.col("rel_path"))).cast("string")).when(given, "manual").otherwise(F.col("status"))
     return rows.withColumns({"status": status, "found": F.col("found") | given, "needs_review": F.col("needs_review") & ~given, **{c: F.coalesce(f"_{c}", c) for c in names}}).drop("_h", "_w", *(f"_{c}" for c in names))
+
+
+def overrides_from_truth(truth: DataFrame, modes: list[str]) -> DataFrame:
+    """Approved two-point lines as overrides of each mode; lines of more points are for evaluation alone, and fatal here."""
+    rows = truth.where("status = 'approved' AND problem IS NULL")
+    two = (F.size("top") == 2) & (F.size("bottom") == 2)
+    known = F.when(two, F.col("source")).otherwise(F.raise_error(F.concat(F.lit("more than two points in a line: "), F.col("source"))).cast("string"))
+    w = F.greatest(F.col("width") - 1, F.lit(1))
+    lines = [c for s in ("top", "bottom") for c in (((F.col(s)[1][1] - F.col(s)[0][1]) / w).alias(f"{s}_slope"), F.col(s)[0][1].alias(f"{s}_intercept"))]
+    return rows.select(known.alias("rel_path"), F.explode(F.array(*map(F.lit, modes))).alias("mode"), "height", "width", *lines)
