@@ -1,4 +1,4 @@
-"""PNG and BMP by their public specifications, in NumPy: 8 and 16 bit, 1, 3 and 4 channels (colour order as stored)."""
+"""PNG and BMP by their public specifications, in NumPy: 8 and 16 bit, 1, 3 and 4 channels (colour order as stored); and plain pixels that the JVM decoded."""
 
 from __future__ import annotations
 
@@ -29,33 +29,44 @@ def encode_png(image: np.ndarray) -> bytes:
 
 
 def _unfilter(raw: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
+    if kinds.max(initial=0) > 4:
+        raise ValueError("filter")
+    if kinds.max(initial=0) > 2:
+        return _unfilter_diagonals(raw, kinds, step)
     h, n = raw.shape
     out = np.zeros((h + 1, n + step), np.uint8)  # a row above and a pixel before, both zero
     for y in range(h):
-        line, up, kind = raw[y], out[y], kinds[y]
-        cur = out[y + 1]
+        line, up, kind, cur = raw[y], out[y], kinds[y], out[y + 1]
         if kind == 0:
             cur[step:] = line
         elif kind == 1:
             for k in range(step):
                 cur[step + k :: step] = np.cumsum(line[k::step], dtype=np.uint64).astype(np.uint8)
-        elif kind == 2:
-            cur[step:] = line + up[step:]
-        elif kind in (3, 4):
-            for x in range(n):
-                a, b, c = int(cur[x]), int(up[x + step]), int(up[x])
-                if kind == 3:
-                    p = (a + b) // 2
-                else:
-                    q = a + b - c
-                    pa, pb, pc = abs(q - a), abs(q - b), abs(q - c)
-                    p = a if pa <= pb and pa <= pc else b if pb <= pc else c
-                cur[x + step] = (int(line[x]) + p) & 255
         else:
-            raise ValueError("filter")
+            cur[step:] = line + up[step:]
     return out[1:, step:]
 
 
+def _unfilter_diagonals(raw: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
+    """All filters, a diagonal of pixels at a time: a pixel needs those to its left, above, and above left, which lie on earlier diagonals."""
+    h, n = raw.shape
+    w = n // step
+    line = np.ascontiguousarray(raw).reshape(h * w, step).astype(np.int16)
+    out = np.zeros(((h + 1) * (w + 1), step), np.int16)  # with a row above and a pixel before, both zero
+    for d in range(h + w - 1):
+        i0, i1 = max(0, d - w + 1), min(h, d + 1)
+        y = np.arange(i0, i1)
+        at = (y + 1) * (w + 1) + d - y + 1
+        kind = kinds[i0:i1, None]
+        a, b, c = out[at - 1], out[at - w - 1], out[at - w - 2]
+        q = a + b - c
+        pa, pb, pc = np.abs(q - a), np.abs(q - b), np.abs(q - c)
+        paeth = np.where((pa <= pb) & (pa <= pc), a, np.where(pb <= pc, b, c))
+        guess = np.where(kind == 4, paeth, np.where(kind == 3, (a + b) >> 1, np.where(kind == 2, b, np.where(kind == 1, a, 0))))
+        out[at] = (line[y * w + d - y] + guess) & 255
+    return out.reshape(h + 1, w + 1, step)[1:, 1:].reshape(h, n).astype(np.uint8)
+
+
 def decode_png(data: bytes) -> np.ndarray:
     if data[:8] != _SIGNATURE:
         raise ValueError("not PNG")
@@ -99,11 +110,22 @@ def decode_bmp(data: bytes) -> np.ndarray:
     return rows[:, :, 0].copy() if c == 1 else rows[:, :, [2, 1, 0, 3][:c]].copy()
 
 
+#: Pixels decoded elsewhere: this mark, height, width and channels as big-endian 32-bit numbers, then rows of 8-bit samples, colours as blue, green, red.
+PIXELS = b"PIX0"
+
+
+def decode_pixels(data: bytes) -> np.ndarray:
+    h, w, c = struct.unpack(">III", data[4:16])
+    rows = np.frombuffer(data, np.uint8, h * w * c, 16).reshape(h, w, c)
+    return rows[:, :, 0].copy() if c == 1 else rows[:, :, [2, 1, 0, 3][:c]].copy()
+
+
 def decode(data: bytes | None) -> np.ndarray | None:
     """The image, or null for empty, unknown or broken data."""
     try:
         if not data:
             return None
-        return decode_bmp(data) if data[:2] == b"BM" else decode_png(data)
+        kind = {b"BM": decode_bmp, PIXELS[:2]: decode_pixels}.get(data[:2], decode_png)
+        return kind(data)
     except (ValueError, KeyError, TypeError, IndexError, struct.error, zlib.error):
         return None

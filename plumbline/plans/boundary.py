@@ -43,7 +43,7 @@ def judged(rows: DataFrame, config: dict, key: str) -> DataFrame:
     return boundary.assess(found, q, F.col("input_height"), F.col("input_width"))
 
 
-def run(spark: SparkSession, root: str, config: dict, reference_exposure: str = "10000us", prefix: str = "mono_", extensions: tuple[str, ...] = (".png", ".bmp"), fusion_exposures: int = 0) -> Result:
+def run(spark: SparkSession, root: str, config: dict, reference_exposure: str = "10000us", prefix: str = "mono_", extensions: tuple[str, ...] = (".png", ".bmp", ".jpg", ".jpeg", ".tif", ".tiff"), fusion_exposures: int = 0) -> Result:
     files = images.scan(spark, root).where(catalog.scan_predicate(None, prefix, list(extensions)))
     meta = files.select("rel_path", "scene", "exposure_us", F.lower("camera").alias("camera"), F.lower("name").alias("name"), F.lower("exposure").alias("exposure"))
     meta = meta.withColumn("scene", F.regexp_replace("scene", "/[^/]*us$", ""))

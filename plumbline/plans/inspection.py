@@ -17,7 +17,7 @@ from ..sources.tables import kept, small
 class Options:
     reference_exposure: str = "10000us"
     prefix: str = "mono_"
-    extensions: tuple[str, ...] = (".png", ".bmp")
+    extensions: tuple[str, ...] = (".png", ".bmp", ".jpg", ".jpeg", ".tif", ".tiff")
     modes: tuple[str, ...] = ("std",)
     margin: int = 0
     lines: lines.Config = field(default_factory=lines.Config)

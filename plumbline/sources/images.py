@@ -9,6 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codec
 from ..operators import catalog
 
 
@@ -17,17 +18,32 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+_DECODED = r"\.(jpe?g|tiff?|gif)$"
+
+
+def _decoded(spark: SparkSession, root: str) -> DataFrame:
+    """JPEG, TIFF and GIF files by Spark's image source, 8 bits a sample: path, content as plain pixels (empty where the file is broken)."""
+    names = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[tT][iI][fF],[tT][iI][fF][fF],[gG][iI][fF]}"
+    rows = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", names).option("dropInvalid", "false").load(escape_glob(root))
+    number = lambda c: F.unhex(F.lpad(F.hex(F.col(f"image.{c}")), 8, "0"))
+    pixels = F.concat(F.lit(bytearray(codec.PIXELS)), number("height"), number("width"), number("nChannels"), F.col("image.data"))
+    content = F.when(F.col("image.height") > 0, pixels).otherwise(F.lit(bytearray(b"")))
+    return rows.select(F.col("image.origin").alias("path"), F.lit(None).cast("timestamp").alias("modificationTime"), F.octet_length(F.col("image.data")).cast("long").alias("length"), content.alias("content"))
+
+
 def scan(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
     """rel_path, length, modification_time, content and identity; content is read only where a plan uses it.
 
+    JPEG, TIFF and GIF come decoded to 8-bit pixels (their length is that of the pixels, their time null); WebP can't be read.
     Files of no bytes, which the file source passes over, come from its listing with empty content. Names and folders that
     start with _ or . below the root are left out by the file source.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(escape_glob(root))
+    files = everything = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(escape_glob(root))
+    files = files.where(~F.lower("path").rlike(_DECODED)).unionByName(_decoded(spark, root))
     one = lambda p: F.regexp_replace(p, "^([a-z0-9]+):/+", "$1:/")  # noqa: E731  the listing writes file:///, the rows file:/
-    listed = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string").withColumn("path", one("path"))
+    listed = spark.createDataFrame([(unquote(f),) for f in everything.inputFiles()], "path string").withColumn("path", one("path"))
     blank = listed.join(files.select(one("path").alias("path")), "path", "left_anti")
-    blank = blank.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+    blank = blank.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(bytearray(b"")).alias("content"))
     base = root.rstrip("/").split("://")[-1].replace("file:", "")
     rel = F.regexp_replace(F.col("path"), f"^.*?{re.escape(base)}/", "")
     rows = files.unionByName(blank).select("path", "length", F.col("modificationTime").alias("modification_time"), "content").withColumn("rel_path", rel)
