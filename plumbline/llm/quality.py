@@ -53,7 +53,7 @@ def _distinct(hashes: np.ndarray, cuts: np.ndarray):
 
 def features(texts: pa.Array, n_chars: pa.Array):
     """Yields (statistics, text of each distinct word, its bucket) for slices of texts."""
-    texts = pc.binary_join_element_wise(texts.cast(pa.large_string()).fill_null(""), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+    texts = pc.binary_join_element_wise(texts.cast(pa.large_string()).fill_null(""), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))  # no line runs on into the next text
     raw, offsets = utf8(texts)
     said = n_chars.cast(pa.float64()).fill_null(-1.0).to_numpy(zero_copy_only=False)
     for lo, hi in slices(np.diff(offsets), SLICE_BYTES):
@@ -69,6 +69,7 @@ def features(texts: pa.Array, n_chars: pa.Array):
         line_cuts = np.searchsorted(starts, ends)
         n_lines = np.diff(line_cuts)
         d_lines, top_line, _, _ = _distinct(lines, line_cuts)
+        count[5] -= 1  # the one that ends the text here
         some, w, n = np.maximum(size, 1), np.maximum(n_words, 1), np.maximum(n_lines, 1)
         chars = size - np.add.reduceat(((part & 0xC0) == 0x80).astype(np.int64), ends[:-1])  # code points
         meta = said[lo:hi]
