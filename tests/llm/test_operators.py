@@ -228,7 +228,7 @@ def test_kneser_ney_prefers_the_class_of_its_expressions():
     toxicity.count_shared(pa.array(texts), shared)
     m = toxicity.Model(texts, labels, shared, 0.5)
     s = m.score(pa.array([text(["idiotic", "vile", "Idiot"]), text(["nice", "day"]), ""]))  # an inflected form shares its prefix's counts
-    assert s[0] > 0.5 > s[1] and s[2] <= 0.29
+    assert s[0] > 0.5 > s[1] and s[2] == 0.5  # nothing told: the share
 
 
 def test_toxic_phrase_of_words_seen_before_ends_a_long_text():
