@@ -35,7 +35,7 @@ from .common import BYTE_HASH, Query, hash_sample, mix, powers, query_rows, slic
 from .langid import held_out
 
 SAMPLE_DOCS = 2000  # of each class, the bound of the fit
-SAMPLE_BYTES = 8 << 20  # of each class's texts, about, in all
+SAMPLE_BYTES = 5 << 20  # of each class's texts, about, in all
 WINDOW = 8
 STRONG = 3.5
 PREFIXES = (6, 4)  # bytes
@@ -96,9 +96,9 @@ def line_weights(words: np.ndarray, lines: np.ndarray, cuts: np.ndarray) -> np.n
 
 def unlike(texts: list[str]) -> list[int]:
     """Which texts to keep so that none has most of its word pairs in those before it: copies would count one expression often."""
-    seen, out, n = np.zeros(1 << 26, bool), [], 0
+    seen, out, n = np.zeros(1 << 25, bool), [], 0
     for levels, _, cuts in words_of(pa.array(texts, pa.large_string())):
-        pair = pairs_of(levels[0], cuts)[0] >> np.uint64(38)
+        pair = pairs_of(levels[0], cuts)[0] >> np.uint64(39)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             mine = np.unique(pair[a:b])
             if len(mine) and seen[mine].mean() <= 0.5:
