@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +75,21 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freeing(run: Callable) -> Callable:
+    """A batch function whose worker gives freed memory back when it ends; workers live on between stages, and JVM stages need the room."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # where the C library has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 BROADCAST_BYTES = 16 << 20
 
 

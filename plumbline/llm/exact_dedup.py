@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, build_filter, hot_join, in_filter, query_rows, written
+from .common import Query, build_filter, freeing, hot_join, in_filter, query_rows, written
 
 MEMTABLE_ROWS = 100_000
 MEMTABLE_BYTES = 48 << 20
@@ -78,7 +78,7 @@ def level0(docs: DataFrame, digest_bytes: int = 32, rows: int = MEMTABLE_ROWS) -
                     flushed += 1
         yield flush()
 
-    return _digests(docs).select("doc_id", F.substring("sha", 1, digest_bytes).alias("digest")).mapInArrow(fill, _RUN)
+    return _digests(docs).select("doc_id", F.substring("sha", 1, digest_bytes).alias("digest")).mapInArrow(freeing(fill), _RUN)
 
 
 def _merge(batches):
@@ -165,7 +165,7 @@ def dedup(docs: DataFrame, keep: str = "smallest", digest_bytes: int = 32, memta
     level = written(compact(written(level0(docs, digest_bytes, memtable_rows), "lsm-level0")), "lsm-level1")
     hits = level.where("n > 1")
     table, bits = build_filter(hits.select("digest"), hits.count(), _key)
-    entries = written(_digests(docs).select("doc_id", "text", "sha").mapInArrow(_entries(table, bits, digest_bytes, memtable_rows, memtable_bytes), _ENTRY), "lsm-entries")
+    entries = written(_digests(docs).select("doc_id", "text", "sha").mapInArrow(freeing(_entries(table, bits, digest_bytes, memtable_rows, memtable_bytes)), _ENTRY), "lsm-entries")
     shared = entries.where("text IS NOT NULL")
     verified = written(shared.groupBy("digest").agg(F.expr("min(text) = max(text)").alias("same")).join(level, "digest").select("digest", "same", "n", F.col(end).alias("keep_id")), "lsm-verified")
     told = hot_join(shared.drop("text"), verified.where("same").select("digest", "n", "keep_id"), "digest", "n").select("sha", "ids", "nulls", "keep_id", F.col("n").alias("group_size"))

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, query_rows, text_sample
+from .common import Query, freeing, query_rows, text_sample
 
 SAMPLE_DOCS = 96  # labelled texts of each language, the bound of the fit
 SAMPLE_BYTES = 1 << 20  # of each language, about, in all
@@ -142,7 +142,7 @@ def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MA
                 names=["doc_id", "lang_pred", "score", "margin", "rejected"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _OUT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(freeing(run), _OUT)
 
 
 def accepted(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -154,7 +154,7 @@ def accepted(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_M
             verdicts = (f(t.as_py()) for t in b.column("text"))
             yield b.filter(pa.array([v[0] != "und" and v[2] >= min_margin for v in verdicts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)
 
 
 def held_out(mod: int, remainder: int) -> F.Column:

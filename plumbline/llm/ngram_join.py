@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, Query, build_filter, cell_join, components, discard, hot_join, in_filter, mix, query_rows, slices, utf8, word_hashes, written
+from .common import BASE, Query, build_filter, cell_join, components, discard, freeing, hot_join, in_filter, mix, query_rows, slices, utf8, word_hashes, written
 
 WORDS = 5
 PERCENT = 80
@@ -245,11 +245,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, name: str, k: int, percent: int
     """The pairs (a, b) that link. Sets are made again for their documents alone, and move only for pairs that pass the suffix filter."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     table, bits = build_filter(ids, 2 * pairs.count())
-    sets = written(docs.mapInArrow(_emit_sets(table, bits, k), "id long, n int, ranges binary, shingles binary"), f"{name}-sets")
+    sets = written(docs.mapInArrow(freeing(_emit_sets(table, bits, k)), "id long, n int, ranges binary, shingles binary"), f"{name}-sets")
     side = lambda s, cols: sets.select(F.col("id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in cols))
     near = pairs.join(side("a", ["n", "ranges"]), "a").join(side("b", ["n", "ranges"]), "b").mapInArrow(_suffix_filter(percent), "a long, b long").distinct()
     near = written(near, f"{name}-near")
-    links = written(near.join(side("a", ["shingles"]), "a").join(side("b", ["shingles"]), "b").mapInArrow(_verify(percent), "a long, b long").distinct(), f"{name}-links")
+    links = written(near.join(side("a", ["shingles"]), "a").join(side("b", ["shingles"]), "b").mapInArrow(freeing(_verify(percent)), "a long, b long").distinct(), f"{name}-links")
     discard(sets, near)
     return links
 
@@ -257,7 +257,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, name: str, k: int, percent: int
 def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     docs = _texts(docs)
-    scanned = written(docs.mapInArrow(_scan(k), "doc_id long, n long, digest binary, slot int, counts binary"), "ngram-scan")
+    scanned = written(docs.mapInArrow(freeing(_scan(k)), "doc_id long, n long, digest binary, slot int, counts binary"), "ngram-scan")
     freq = np.zeros(1 << TABLE_BITS, np.uint64)
     for r in scanned.where("slot IS NOT NULL").select("slot", "counts").groupBy("slot").applyInArrow(_sum, "slot int, counts binary").collect():  # 4 MB
         freq[r.slot << 14 : (r.slot + 1) << 14] = np.frombuffer(r.counts, "<u8")
@@ -266,8 +266,8 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     classes = written(linked.groupBy("digest").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("copies")).where("b < most").drop("most"), "ngram-classes")
     copies = written(hot_join(linked, classes, "digest", "copies").where("doc_id > b").select(F.col("doc_id").alias("a"), "b").distinct(), "ngram-copies")
 
-    posted = docs.mapInArrow(_prefixes(freq, k, percent), _POSTED)
-    shared = written(posted.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_shared, _POSTED.rpartition(",")[0]), "ngram-postings")
+    posted = docs.mapInArrow(freeing(_prefixes(freq, k, percent)), _POSTED)
+    shared = written(posted.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(freeing(_shared), _POSTED.rpartition(",")[0]), "ngram-postings")
     need = _need_sql("n", percent)
     caps = shared.groupBy("id", "n", "last").agg(F.count_distinct("pos").alias("c")).select("id", "n", "last", F.expr(f"CAST(n - ((n - {need} + 1) - c) AS INT)").alias("cap"))
     postings = written(shared.join(caps, ["id", "n", "last"]).select("h", "id", "n", "pos", "last", "cap"), "ngram-bounded")

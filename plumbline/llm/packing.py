@@ -24,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Query, query_rows, written
+from .common import Query, freeing, query_rows, written
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 CHUNK_CHARS = 1 << 20
 #: Fixed values of the vocabulary's own pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -95,7 +95,7 @@ class WordEncoder:
         if None in found:
             if len(cache) > self.most:
                 cache.clear()
-            if len(self.parts) > 3 * self.most:
+            if len(self.parts) > 2 * self.most:
                 self.parts.clear()
             for k, ids in enumerate(found):
                 if ids is None:
@@ -150,7 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(freeing(run), schema)
 
 
 def _exact(gap: int, left: np.ndarray) -> tuple[int, ...] | None:

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Query, build_filter, in_filter, mix, query_rows, utf8, written
+from .common import Query, build_filter, freeing, in_filter, mix, query_rows, utf8, written
 
 WINDOW = 50
 ANCHOR = 16
@@ -424,7 +424,7 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     deal = Deal(Shape(window), max(8, math.ceil(total / GROUP_BYTES)), hot_anchors(docs, total, window))
     fine = math.ceil(deal.groups / FAN)
-    dealt = docs.mapInArrow(_deal(deal, fine), "group long, blob binary")
+    dealt = docs.mapInArrow(freeing(_deal(deal, fine)), "group long, blob binary")
     if fine > 1:
         dealt = dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_deal_again(deal), "group long, blob binary")
     if (tasks := deal.groups // 16) > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
