@@ -43,7 +43,7 @@ FAN = 8192  # groups that a batch is dealt to
 PLACES = 4096  # positions to a slot of the anchors' table, while it has fewer than 2^MOST_BITS slots (16 MB)
 MOST_BITS = 21
 HOT_TIMES = 6  # a slot is hot beyond so many times the mean
-LEVEL = 9
+LEVEL = 5
 _LOW = np.uint64((1 << 24) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
