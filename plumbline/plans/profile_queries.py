@@ -33,7 +33,8 @@ _LONG = "SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnes
 
 
 def _profile(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "x"))
+    # whole vectors move, not their numbers: what follows keeps their distribution
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").repartition("vec_id").select("vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "x"))
 
 
 @query(
