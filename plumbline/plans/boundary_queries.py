@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import boundary, catalog, profiles
+from ..operators import auto, boundary, catalog, profiles
 from ..sources.tables import table
 
 QUERIES: dict = {}
@@ -227,3 +227,62 @@ SELECT event_id, round(greatest(0, least(1, (value - 20) / greatest(p, 1e-8))),
 def positive_unit(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", (F.col("value") - 20).alias("v"))
     return profiles.positive_unit(e, ["user_id"], "v").select("event_id", F.round("unit", 6).alias("unit"))
+
+
+# candidates of two generators: urgent orders by one method, others by another; customers are the groups
+_AUTO = """a AS (SELECT o_custkey AS g, CASE WHEN o_orderpriority LIKE '1%' THEN 'gabor_fallback' WHEN o_orderpriority LIKE '2%' THEN 'registration' ELSE 'std' END AS method, o_orderkey,
+    (o_orderkey % 10) / 10.0 AS p, o_custkey % 9 AS rmse, o_totalprice / 600000.0 AS texture, [o_orderkey % 7, o_custkey % 5] AS d FROM orders WHERE o_orderpriority NOT LIKE '5%'),
+q AS (SELECT *, 0.25 * texture + 0.2 * p + 0.15 * (exp(-rmse / 6.0) * p + exp(-(rmse + 1) / 6.0) * p) / 2 + 0.1 * (least(1, p / 0.7) * exp(-greatest(0, 0.4 - 0.25) / 0.15) + least(1, 0.9 / 0.7)) / 2
+    + 0.15 * (exp(-d[1] / 3.0) + exp(-d[2] / 3.0)) / 2 * 2 / 3.0 + 0.05 * p + 0.1 * exp(-(p / 10 / 0.06) * (p / 10 / 0.06) / 2) AS quality FROM a)"""
+
+
+def _auto(spark, sf):
+    p = (F.col("o_orderkey") % 10) / 10.0
+    rows = table(spark, sf, "orders").where(~F.col("o_orderpriority").startswith("5"))
+    shape = {
+        "top_rmse": (F.col("o_custkey") % 9).cast("double"), "bottom_rmse": (F.col("o_custkey") % 9 + 1).cast("double"), "top_inlier_ratio": p, "bottom_inlier_ratio": p, "top_x_coverage": p, "bottom_x_coverage": F.lit(0.9),
+        "top_max_gap_ratio": F.lit(0.4), "bottom_max_gap_ratio": F.lit(0.1), "height_change_ratio": p / 10, "pair_inlier_ratio": p, "texture": F.col("o_totalprice") / 600000.0,
+        "d": F.array((F.col("o_orderkey") % 7).cast("double"), (F.col("o_custkey") % 5).cast("double")), **{f"{s}_{k}": F.lit(1.0) for s in boundary.SIDES for k in ("slope", "intercept")},
+    }
+    rows = rows.withColumns(shape)
+    kinds = {"gabor_fallback": rows.where("o_orderpriority LIKE '1%'"), "registration": rows.where("o_orderpriority LIKE '2%'"), "std": rows.where("o_orderpriority NOT LIKE '1%' AND o_orderpriority NOT LIKE '2%'")}
+    parts = {
+        "texture": F.col("texture"), "edge": F.col("top_inlier_ratio"), "line": auto.line_part(6.0), "coverage": auto.coverage_part(0.7, 0.25), "consistency": auto.consistency_part(F.col("d"), F.lit(3), F.lit(200.0)),
+        "pair": F.col("pair_inlier_ratio"), "geometry": auto.geometry_part(),
+    }
+    return auto.union(kinds).withColumn("roi_quality", auto.score(parts))
+
+
+@query(f"WITH {_AUTO} SELECT o_orderkey, method, round(quality, 6) AS quality FROM q")
+def auto_scores(spark, sf):
+    """Candidates of all generators with the weighted sum of their seven parts."""
+    return _auto(spark, sf).select("o_orderkey", "method", F.round("roi_quality", 6).alias("quality"))
+
+
+@query(
+    f"""
+WITH {_AUTO}, r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY round(quality, 9) DESC, method, o_orderkey) AS k, count(*) OVER (PARTITION BY g) AS n FROM q), b AS (SELECT * FROM r WHERE k = 1)
+SELECT c_custkey, coalesce(method, 'full_frame_fallback') AS method, coalesce(n, 0) AS roi_candidate_count, CASE WHEN method IS NULL THEN 'full_frame_fallback' WHEN quality < 0.55 THEN 'low_confidence' WHEN method = 'std' THEN 'auto' ELSE 'auto_fallback' END AS status,
+  CASE WHEN method IS NULL THEN 'no_localized_roi_full_frame_preserved' WHEN quality < 0.55 THEN 'low_quality_candidate_exported_for_review' END AS output_warning, CASE WHEN method IS NULL THEN 199.0 ELSE 1.0 END AS bottom_intercept
+FROM customer LEFT JOIN b ON g = c_custkey"""
+)
+def auto_states(spark, sf):
+    """The best candidate of each group, or its whole frame, and the state that follows."""
+    groups = table(spark, sf, "customer").select("c_custkey")
+    c = _auto(spark, sf).withColumnRenamed("o_custkey", "c_custkey").withColumn("roi_quality", F.round("roi_quality", 9))
+    out = auto.choose(c, groups, "c_custkey", 0.55, F.lit(200.0))
+    return out.select("c_custkey", "method", "roi_candidate_count", "status", "output_warning", "bottom_intercept")
+
+
+@query(
+    """
+WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity / 50.0 AS s FROM lineitem)
+SELECT l_orderkey, l_linenumber, greatest(3, CAST(round_even(31 * s, 0) AS INTEGER)) | 1 AS std_kernel, greatest(8, CAST(round_even(32 * s, 0) AS INTEGER)) AS fft_window, greatest(1, CAST(round_even(8 * s, 0) AS INTEGER)) AS fft_stride,
+  round(least(0.45, 0.08 / s), 9) AS fft_min_frequency, round(least(0.5, 0.45 / s), 9) AS fft_max_frequency, greatest(1, CAST(round_even(6 * s, 0) AS INTEGER)) AS texture_gap,
+  greatest(greatest(1, CAST(round_even(6 * s, 0) AS INTEGER)) + 1, CAST(round_even(40 * s, 0) AS INTEGER)) AS texture_window, round(greatest(1, 6 * s), 9) AS ransac_residual, round(greatest(greatest(1, 6 * s), 18 * s), 9) AS ransac_max_residual FROM s"""
+)
+def scaled_parameters(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 50.0).alias("s"))
+    made = auto.scaled(F.col("s"), 31, 32, 8, 0.08, 0.45, 6, 40, 6.0, 18.0)
+    exact = ("fft_min_frequency", "fft_max_frequency", "ransac_residual", "ransac_max_residual")
+    return li.select("l_orderkey", "l_linenumber", *((F.round(c, 9) if k in exact else c).alias(k) for k, c in made.items()))
