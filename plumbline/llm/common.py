@@ -185,16 +185,22 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFra
 def cell_join(left: DataFrame, right: DataFrame, key: str, by: tuple[str, str], cell: int = 512) -> DataFrame:
     """An equi-join of two written tables whose keys may be hot on either side.
 
-    A key's rows are dealt by hash of a column (`by`: left's, right's) to parts of about `cell` rows, and each pair of parts meets on its own.
+    A hot key's rows (more than `cell` on a side) are dealt by hash of a column (`by`: left's, right's) to parts of about `cell`
+    rows, and each pair of parts meets on its own. All other keys join as they are.
     """
     n, m = (t.groupBy(key).agg(F.count(F.lit(1)).alias(c)) for t, c in ((left, "_n"), (right, "_m")))
-    sizes = written(n.join(m, key), "join-sizes")
+    hot = written(n.join(m, key).where(F.greatest("_n", "_m") > cell), "join-hot")
+    n_hot = hot.count()
+    if not n_hot:
+        return left.join(right, key)
+    side = F.broadcast(hot) if n_hot <= HOT else hot
     parts = lambda c: F.ceil(F.col(c) / cell).cast("int")
     part = lambda column, c: F.pmod(F.xxhash64(column), parts(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), parts(c) - 1))
-    a = hot_join(left, sizes, key, "_n").withColumn("_p", part(by[0], "_n")).withColumn("_q", every("_m")).drop("_n", "_m")
-    b = hot_join(right, sizes, key, "_m").withColumn("_q", part(by[1], "_m")).withColumn("_p", every("_n")).drop("_n", "_m")
-    return a.join(b, [key, "_p", "_q"]).drop("_p", "_q")
+    a = left.join(side, key).withColumn("_p", part(by[0], "_n")).withColumn("_q", every("_m")).drop("_n", "_m")
+    b = right.join(side, key).withColumn("_q", part(by[1], "_m")).withColumn("_p", every("_n")).drop("_n", "_m")
+    mild = left.join(side.select(key), key, "left_anti").join(right.join(side.select(key), key, "left_anti"), key)
+    return mild.unionByName(a.join(b, [key, "_p", "_q"]).drop("_p", "_q"))
 
 
 # ---- fixed-size filters -------------------------------------------------------------------------

@@ -294,7 +294,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     met = written(hot_join(meets, majors, "major", "times"), "ngram-met")
     near = written(met.where("size <= shared").select("major", *(F.col(c).alias(f"{c}_1") for c in ("id", "n", "cap", "last"))), "ngram-near")
     members = rows.select(F.col("root").alias("major"), *(F.col(c).alias(f"{c}_2") for c in ("id", "n", "cap", "last"))).distinct()
-    members = written(hot_join(members, majors.select("major", "size"), "major", "size").drop("size"), "ngram-members")
+    members = written(members, "ngram-members")
     whole = cell_join(near, members, "major", ("id_1", "id_2"))
     whole = whole.where(f"least(n_1, n_2) * 100 >= greatest(n_1, n_2) * {percent} AND {_bound('_1', '_2')} >= {_least_sql('n_1', 'n_2', percent)}")
     few = minor.join(met.where("size > shared").select("id", "major"), ["id", "major"], "left_semi")

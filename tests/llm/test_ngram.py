@@ -65,4 +65,4 @@ def test_intermediate_tables_go(spark):
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     ngram_join.join(spark.createDataFrame([(i, prose("en", 30)) for i in range(8)], "doc_id long, text string")).count()
     left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
-    assert left <= {"ngram-scan", "edges", "join-sizes"}
+    assert left <= {"ngram-scan", "edges", "join-hot"}
