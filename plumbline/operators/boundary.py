@@ -18,6 +18,11 @@ def at(side: str, x: Column | float) -> Column:
     return F.col(f"{side}_intercept") + F.col(f"{side}_slope") * x
 
 
+def thickness(x: Column | float) -> Column:
+    """The rows between both lines at x; lines are subtracted first, so that it is the same everywhere between parallel ones."""
+    return F.col("bottom_intercept") - F.col("top_intercept") + (F.col("bottom_slope") - F.col("top_slope")) * x
+
+
 def endpoints(width: Column) -> Column:
     """Rows of top and bottom at the first and last column."""
     return F.array(*(at(s, x) for s in SIDES for x in (F.lit(0.0), width - 1)))
@@ -155,7 +160,7 @@ def assess(rows: DataFrame, q: dict, height: Column, width: Column) -> DataFrame
     """
     xs = (F.lit(0.0), (width - 1) / 2, width - 1)
     tops, bottoms = [at("top", x) for x in xs], [at("bottom", x) for x in xs]
-    thick = [b - t for t, b in zip(tops, bottoms, strict=True)]
+    thick = [thickness(x) for x in xs]
     angles = [F.degrees(F.atan(F.col(f"{s}_slope"))) for s in SIDES]
     variation = F.greatest(*thick) - F.least(*thick)
     tests = {

@@ -3,6 +3,7 @@
 import itertools
 import json
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import bands, codec, lattice, lines
 from plumbline.operators import boundary, catalog, exports
 from plumbline.plans import boundary as plan
+from plumbline.plans import registry
 from plumbline.sources import config, images
 
 from .test_kernels import band
@@ -146,3 +148,15 @@ def test_paths_are_safe(tmp_path):
             images.check_paths(str(tmp_path / "in"), str(tmp_path / out))
     with pytest.raises(NotADirectoryError):
         images.check_paths(str(tmp_path / "none"), str(tmp_path / "out"))
+
+
+def test_parallel_lines_at_the_height_limit(spark, tmp_path):
+    """Parallel lines just as far apart as the least height allows, for every slope and place that orders can make, are high enough at every column."""
+    path = f"{tmp_path}/orders.parquet"
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT k AS o_orderkey, c AS o_custkey, 'O' AS o_orderstatus, 90000.0::DOUBLE AS o_totalprice FROM range(850) a(k), range(840) b(c)
+        WHERE 60 + c % 120 = 20 + k % 50 AND c % 21 - 10 = k % 17 - 8) TO '{path}' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}'")
+    want = con.execute(f"SELECT o_orderkey, reasons, status FROM ({registry.oracle_sql()['scene_states']}) ORDER BY ALL").fetchall()
+    got = sorted(tuple(r) for r in registry.queries()["scene_states"](spark, str(tmp_path)).select("o_orderkey", "reasons", "status").collect())
+    assert len(got) > 50 and got == want and not any("IMPLAUSIBLE_HEIGHT" in r[1] for r in got)
